@@ -135,3 +135,27 @@ def mails(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("'inbox/' || conv_id || '/' || turn").alias("path"),
         F.expr(RAW_MAIL.replace("varchar(9)", "string")).alias("document"),
     )
+
+
+# --- multiparts inside bodies ----------------------------------------------------
+
+# By turn % 4: two text parts and an attachment; the same with single line feeds
+# and a part without an empty line; a boundary that is declared but not used; none.
+BROKEN_MULTIPART = (
+    "case turn % 4"
+    f" when 0 then 'X-Was: mail' || {NL} || 'Content-Type: multipart/mixed;' || {NL} || ' boundary=\"=_(1)+$\"' || {NL} || {NL}"
+    f" || '--=_(1)+$' || {NL} || 'Content-Type: text/plain' || {NL} || {NL} || text || {NL}"
+    f" || '--=_(1)+$' || {NL} || 'Content-Type: image/png' || {NL} || {NL} || 'iVBORw0KGgo=' || {NL}"
+    f" || '--=_(1)+$' || {NL} || 'Content-Type: TEXT/html' || {NL} || {NL} || '<b>' || role || '</b>' || {NL} || '--=_(1)+$--' || {NL}"
+    f" when 1 then 'Content-Type: MULTIPART/alternative; boundary=\"b2\"' || {CRLF} || '--b2' || {CRLF}"
+    f" || 'Content-Type: text/plain' || {CRLF} || {CRLF} || text || '--b2' || {CRLF} || 'Content-Type: text/plain' || {CRLF} || 'no empty line'"
+    f" when 2 then 'Content-Type: multipart/mixed; boundary=\"unused\"' || {NL} || text"
+    " else text end"
+)
+REPAIRED_SQL = (
+    "case turn % 4"
+    f" when 0 then ' ' || text || {NL} || '  <b>' || role || '</b>' || {NL}"
+    " when 1 then ' ' || text || ' '"
+    f" when 2 then 'Content-Type: multipart/mixed; boundary=\"unused\"' || {NL} || text"
+    " else text end"
+)
