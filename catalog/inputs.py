@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.runtime import spread
+
 NL = "chr(10)"
 CRLF = "chr(13) || chr(10)"
 
@@ -19,7 +21,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    return spread(texts, "id")
 
 
 # --- dirty text: what the cleaning steps look for, appended to real text -------

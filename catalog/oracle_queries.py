@@ -16,8 +16,8 @@ _LETTERS = r"[\p{L}\p{M}]+"
 _WORD = rf"{_LETTERS}(?:[\p{{Pd}}\p{{Pc}}''\".\x{{ad}}\x{{2027}}]{_LETTERS})*"
 _NUMBER = r"\p{N}+(?:[''\",.]\p{N}+)*"
 _MIXED = rf"(?:{_WORD}|{_NUMBER})"
-# A sign before a number belongs to its token, as does a percent sign after one.
-BREAKS = rf"[$#.\p{{Sc}}]{_NUMBER}{_MIXED}*%?|{_MIXED}*{_NUMBER}%|{_MIXED}+"
+# A sign before a number belongs to its token, as does a percent or and-sign after one.
+BREAKS = rf"[$#.\p{{Sc}}]{_NUMBER}{_MIXED}*[%&]?|{_MIXED}*{_NUMBER}[%&]|{_MIXED}+"
 
 STOP = ", ".join(f"'{word}'" for word in ENGLISH_STOP_WORDS)
 
@@ -132,7 +132,7 @@ _ADDRESS = "role || '.' || conv_id || '@mail.example'"
 MAIL_TEXT = f"mail as (select {KEY} as id, {cleaned(inputs.BODY_TEXT_SQL)} as text from conversations)"
 MAIL_TOKENS = (
     f"{MAIL_TEXT}, docs as (select id, list_filter({breaks('lower(text)')},"
-    f" lambda x: not regexp_full_match(x, '[\\p{{N}}.,:]+') and x not in ({STOP})) as tokens from mail)"
+    f" lambda x: not regexp_full_match(x, '[\\p{{N}}.,:%&]+') and x not in ({STOP})) as tokens from mail)"
 )
 MAIL_COUNTS = (
     f"with {MAIL_TOKENS}, counts as (select id, word, count(*) as cnt from"
@@ -156,7 +156,7 @@ LEXICON = (
 )
 LEMMAS = (
     f"{LEXICON}, words as (select doc_id as id, list_filter({breaks('lower(text)')},"
-    " lambda x: not regexp_full_match(x, '[\\p{N}.,:]+')) as tokens from documents),"
+    " lambda x: not regexp_full_match(x, '[\\p{N}.,:%&]+')) as tokens from documents),"
     " placed as (select id, unnest(tokens) as surface, generate_subscripts(tokens, 1) as pos from words),"
     " lemmas as (select p.id, p.pos, coalesce(l.lemma, p.surface) as word from placed p"
     " left join lexicon l using (surface)"

@@ -39,7 +39,7 @@ def value_counts(items: Column) -> Column:
             ),
         )
 
-    return let(F.array_sort(items), runs)
+    return let(F.sort_array(items), runs)
 
 
 def without_trailing_empty(parts: Column) -> Column:

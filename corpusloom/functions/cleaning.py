@@ -10,14 +10,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # --- fixed values: what each step looks for ----------------------------------
-# A run of equal marks is only tried from its start (the look-behinds): a match
-# that could start inside a run could start at the run's first character too, and
-# a very long run would otherwise be scanned once per character.
+# A run of equal marks is only tried from its start, or from the end of the match
+# before (the look-behinds): a match that could start inside a run could start at
+# its first character too, and a long run would be scanned once per character.
 ORIGINAL_MARK = r"(?<!-)-+\s*[Oo]riginal\s*[Mm]essage|[Ff]orwarded\s+by\s+"
 QUOTED_LINE = r"(?<![\r\n])[\r\n]+>[^\r\n]*[\r\n]+"
 MARKUP = r"<[^<]+?>|=\d\d|http\S+|www\S+"
 _MARKS = r"""\x01-\x1f"`=%><#_~+*/\\\[\]|{}"""
-SYMBOLS = rf"\s[-{_MARKS}$]+|(?<![-{_MARKS}])[-{_MARKS}]+\s|[{_MARKS}$]+"
+SYMBOLS = rf"\s[-{_MARKS}$]+|(?:(?<![-{_MARKS}])|\G)[-{_MARKS}]+\s|[{_MARKS}$]+"
 BRACKETS = r"[();&]+"
 EMBEDDED_COMMA = r"([^0-9,:])[,:]+([^0-9])"
 SENTENCE_END = r"[?!]+"

@@ -29,12 +29,12 @@ MIN_WORD_LENGTH = 3
 # A letter outside the basic plane takes two UTF-16 units, so two letters reach
 # the minimum length when one of them is such a letter.
 _TERM_SHAPE = r"^(?:\p{L}{3,}|(?=.*[\x{10000}-\x{10FFFF}])\p{L}{2})$"
-_NUMBER_SHAPE = r"^[\p{N}.,:]+$"
+_NUMBER_SHAPE = r"^[\p{N}.,:%&]+$"
 
 
 def broken_words(text: Column) -> Column:
     """All words of a text in order, lower-cased, by locale word breaks."""
-    return F.flatten(F.sentences(F.lower(text), F.lit("en"), F.lit("US")))
+    return F.flatten(F.sentences(F.lower(F.coalesce(text, F.lit(""))), F.lit("en"), F.lit("US")))
 
 
 def is_term(word: Column) -> Column:

@@ -58,7 +58,7 @@ def collect_corpus(cells: DataFrame) -> DataFrame:
     A document holds each word once, so a group is never longer than the
     dictionary.
     """
-    pairs = F.array_sort(F.collect_list(F.struct("word_id", "cnt")))
+    pairs = F.sort_array(F.collect_list(F.struct("word_id", "cnt")))
     return (
         cells.groupBy("id")
         .agg(pairs.alias("pairs"))

@@ -52,7 +52,7 @@ def tokenize_mail(
     # document without a surviving word keeps its row.
     return (
         lemmas.groupBy("id")
-        .agg(F.array_sort(F.collect_list(F.when(_kept(stop), F.struct("pos", "lemma")))).alias("p"))
+        .agg(F.sort_array(F.collect_list(F.when(_kept(stop), F.struct("pos", "lemma")))).alias("p"))
         .select("id", F.col("p.lemma").alias("tokens"))
     )
 

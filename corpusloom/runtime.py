@@ -20,6 +20,9 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 #: Largest table, in bytes of its values, that is ever sent to every executor.
 BROADCAST_LIMIT_BYTES = 256 * 1024 * 1024
 
+#: Inputs of fewer partitions, at most some gigabytes, are spread over the cores.
+SPREAD_BELOW_PARTITIONS = 64
+
 _ROW_OVERHEAD_BYTES = 32
 _local_scratch: dict[str, str] = {}
 
@@ -58,6 +61,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(root)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give a small input one partition per core before costly work on its rows.
+
+    A small file, or one with a single row group, would keep all but one core
+    idle.  Inputs of many partitions are left where they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= min(cores, SPREAD_BELOW_PARTITIONS):
+        return df
+    return df.repartition(cores, key)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a parquet table in the scratch folder and return a scan of it."""
     path = scratch_path(df.sparkSession, label)
