@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from itertools import accumulate
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.runtime import materialize
@@ -17,18 +19,17 @@ def dense_index(df: DataFrame, *order: Column | str, name: str = "id", kind: str
     Rows are numbered within their partition, the numbered rows are written, and
     the start of every partition is added.  With an order the partitions are
     sorted ranges (give a total order to make the numbers repeatable); without
-    one no row is moved.  The only table that is broadcast has one row per
-    partition.
+    one no row is moved.  Only the row counts of the partitions, one number each,
+    come to the driver and are broadcast.
     """
     if order:
         df = df.repartitionByRange(*order).sortWithinPartitions(*order)
     placed = materialize(df.withColumn(_POSITION, F.monotonically_increasing_id()), "numbered")
     part = F.shiftright(_POSITION, _PART_BITS)
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        placed.groupBy(part.alias("part"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    sizes = sorted(placed.groupBy(part).count().collect())  # one row per partition
+    firsts = accumulate((n for _, n in sizes), initial=0)
+    starts = df.sparkSession.createDataFrame(
+        [(p, first) for (p, _), first in zip(sizes, firsts)], "part long, start long"
     )
     number = F.col("start") + F.col(_POSITION).bitwiseAND(F.lit((1 << _PART_BITS) - 1))
     return placed.join(F.broadcast(starts), part == F.col("part")).select(
