@@ -25,6 +25,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(texts, "id")
 
 
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "pages"), "page_id")
+
+
+def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "conversations"), "conv_id", "turn")
+
+
 # --- dirty text: what the cleaning steps look for, appended to real text -------
 
 CONVERSATION_KEY = "conv_id * 100 + turn"
@@ -44,13 +52,13 @@ DIRTY_PAGE = "html || ' ' || url || ' ' || html"
 
 def dirty_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id, text`` of all pages and conversation turns, with marks to clean."""
-    pages = table(spark, sf_dir, "pages").select(
+    page_text = pages(spark, sf_dir).select(
         F.expr("-1 - page_id").alias("id"), F.expr(DIRTY_PAGE).alias("text")
     )
-    turns = table(spark, sf_dir, "conversations").select(
+    turn_text = turns(spark, sf_dir).select(
         F.expr(CONVERSATION_KEY).alias("id"), F.expr(DIRTY_CONVERSATION).alias("text")
     )
-    return pages.unionByName(turns)
+    return page_text.unionByName(turn_text)
 
 
 DIRTY_SQL = (
@@ -133,7 +141,7 @@ RAW_MAIL = (
 
 def mails(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id, path, document``: one raw message per conversation turn."""
-    return table(spark, sf_dir, "conversations").select(
+    return turns(spark, sf_dir).select(
         F.expr(CONVERSATION_KEY).alias("id"),
         F.expr("'inbox/' || conv_id || '/' || turn").alias("path"),
         F.expr(RAW_MAIL.replace("varchar(9)", "string")).alias("document"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from catalog import inputs
 from corpusloom import sinks, sources
 from corpusloom.functions import cleaning
-from corpusloom.functions.headers import metadata_columns
+from corpusloom.functions.arrays import explode_values
 from corpusloom.functions.mime import body_text, repair_multipart
 from corpusloom.functions.words import ENGLISH_STOP_WORDS, broken_words, is_term, sentence_words
 from corpusloom.operators import bagofwords, dictionary, tokens, topics, vectors
@@ -85,7 +85,7 @@ def simple_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def word_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.concat_ws(" ", "html", "url")
-    return inputs.table(spark, sf_dir, "pages").select("page_id", joined(broken_words(text)).alias("words"))
+    return inputs.pages(spark, sf_dir).select("page_id", joined(broken_words(text)).alias("words"))
 
 
 def sentence_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,8 +99,7 @@ def sentence_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def letter_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
-        inputs.table(spark, sf_dir, "pages")
-        .select(F.explode(broken_words(F.col("html"))).alias("word"))
+        explode_values(inputs.pages(spark, sf_dir), broken_words(F.col("html")), "word")
         .where(is_term(F.col("word")))
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("cnt"))
@@ -121,9 +120,8 @@ def stopword_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def benchmark_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lexicon of the benchmark's words: -ing and -ed forms to stems, -th to determiners."""
-    words = inputs.table(spark, sf_dir, "benchmark").select(
-        F.explode(broken_words(F.col("text"))).alias("surface")
-    )
+    benchmark = inputs.table(spark, sf_dir, "benchmark")
+    words = explode_values(benchmark, broken_words(F.col("text")), "surface")
     return words.distinct().select(
         "surface",
         F.regexp_replace("surface", "(ing|ed)$", "").alias("lemma"),
@@ -145,7 +143,7 @@ def lexicon_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lexicon_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     plain = tokens.tokenize_mail(inputs.documents(spark, sf_dir), "text", stopwords=None)
     counts = tokens.apply_lexicon(tokens.word_counts(plain), benchmark_lexicon(spark, sf_dir))
-    return counts.select("id", F.explode("terms").alias("t")).select(
+    return explode_values(counts, "terms", "t", "id").select(
         "id", "t.word", F.col("t.cnt").cast("long").alias("cnt")
     )
 
@@ -187,7 +185,7 @@ def bow_long(broadcast_limit: int | None = None, hot_rows: int | None = None) ->
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         counts = doc_counts(spark, sf_dir)
         words = dictionary.build_dictionary(counts)
-        entries = counts.select("id", F.explode("terms").alias("t")).select("id", "t.word", "t.cnt")
+        entries = explode_values(counts, "terms", "t", "id").select("id", "t.word", "t.cnt")
         rows = bagofwords.join_words(
             entries, words, broadcast_limit, hot_rows or bagofwords.HOT_WORD_ROWS
         )
@@ -349,8 +347,7 @@ def email_body(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mime_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = inputs.table(spark, sf_dir, "conversations")
-    return turns.select(
+    return inputs.turns(spark, sf_dir).select(
         F.expr(inputs.CONVERSATION_KEY).alias("id"),
         repair_multipart(F.expr(inputs.BROKEN_MULTIPART)).alias("contents"),
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -51,3 +51,14 @@ def without_trailing_empty(parts: Column) -> Column:
             F.array_max(F.transform(parts, lambda p, i: F.when(p == "", -1).otherwise(i))) + 1,
         )
     )
+
+
+def explode_values(df: DataFrame, array: Column | str, name: str, *keep: str) -> DataFrame:
+    """One row per element of an array without nulls, beside the columns to ``keep``.
+
+    A plain ``explode`` makes Spark test first that the array is not empty, which
+    evaluates a costly array expression once more for each test.  The outer form
+    has no such test; its rows for empty arrays are dropped right after it.
+    """
+    exploded = df.select(*keep, F.explode_outer(array).alias(name))
+    return exploded.where(F.col(name).isNotNull())

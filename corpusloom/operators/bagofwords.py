@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.functions.arrays import explode_values
 from corpusloom.runtime import fits_broadcast
 
 #: Rows of one word that may meet in one task when the dictionary is shuffled.
@@ -24,7 +25,7 @@ def bow_entries(
     documents, of which there can be but few, are still looked up in place so
     that no task receives all rows of such a word.
     """
-    entries = counts.select("id", F.explode("terms").alias("t")).select("id", "t.word", "t.cnt")
+    entries = explode_values(counts, "terms", "t", "id").select("id", "t.word", "t.cnt")
     return join_words(entries, dictionary, broadcast_limit).select("id", "word_id", "cnt")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.functions.arrays import explode_values
 from corpusloom.operators.numbering import dense_index
 from corpusloom.runtime import materialize
 
@@ -22,7 +23,7 @@ def document_frequency(counts: DataFrame) -> DataFrame:
     per task.
     """
     return (
-        counts.select(F.explode("terms.word").alias("word"))
+        explode_values(counts, "terms.word", "word")
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("occurrences"))
     )
@@ -31,7 +32,7 @@ def document_frequency(counts: DataFrame) -> DataFrame:
 def term_frequency(counts: DataFrame) -> DataFrame:
     """Number of times each word occurs in all documents: ``word, cnt``."""
     return (
-        counts.select(F.explode("terms").alias("t"))
+        explode_values(counts, "terms", "t")
         .groupBy(F.col("t.word").alias("word"))
         .agg(F.sum("t.cnt").alias("cnt"))
     )

@@ -61,7 +61,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(root)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Give a small input one partition per core before costly work on its rows.
 
     A small file, or one with a single row group, would keep all but one core
@@ -70,7 +70,7 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= min(cores, SPREAD_BELOW_PARTITIONS):
         return df
-    return df.repartition(cores, key)
+    return df.repartition(cores, *keys)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
