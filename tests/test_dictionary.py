@@ -92,10 +92,12 @@ def test_join_strategies_agree(counts, limit, hot_rows):
 
 
 @pytest.mark.parametrize("keep_empty", [False, True])
-def test_documents_without_words(counts, keep_empty):
+@pytest.mark.parametrize("limit", [0, bagofwords.LOOKUP_BYTES])
+def test_documents_without_words(counts, keep_empty, limit):
     words = dictionary.vocabulary(counts, 3)
     want = expected_bow({r.word: r.id for r in words.collect()})
-    got = {r.id: (r.words, r.counts) for r in bagofwords.bag_of_words(counts, words, keep_empty).collect()}
+    corpus = bagofwords.bag_of_words(counts, words, keep_empty, limit)
+    got = {r.id: (r.words, r.counts) for r in corpus.collect()}
     assert got == {d: row for d, row in want.items() if row[0] or keep_empty}
     assert any(not row[0] for row in want.values())
 
@@ -111,6 +113,26 @@ def test_lookup_vectors_equal_the_join(counts):
     assert stored.first().features.size == 30
 
 
+def test_lookup_in_many_small_batches(spark, counts):
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    words = dictionary.build_dictionary(counts, 1.0, 2).withColumn("id", F.col("id") * 3 + 5)
+    want = expected_bow({r.word: r.id for r in words.collect()})
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+        got = bagofwords.bag_of_words(counts, words, keep_empty=True).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert {r.id: (r.words, r.counts) for r in got} == want
+
+
+def test_empty_dictionary_and_empty_corpus(counts):
+    none = dictionary.build_dictionary(counts, 0.0, 1)
+    assert bagofwords.bag_of_words(counts, none).count() == 0
+    assert bagofwords.bag_of_words(counts, none, keep_empty=True).count() == len(DOCS)
+    words = dictionary.vocabulary(counts, 3)
+    assert bagofwords.bag_of_words(counts.where("id < 0"), words, keep_empty=True).count() == 0
+
+
 def test_corpus_stats(counts):
     words = dictionary.build_dictionary(counts, 1.0, 2)
     rows = expected_bow({r.word: r.id for r in words.collect()})
@@ -270,6 +292,11 @@ def test_plans_shuffle_once_and_stay_in_the_jvm(spark, sf_dir):
 
     words = dictionary.build_dictionary(stored)
     plan = physical_plan(bagofwords.bag_of_words(stored, words))
-    assert plan.count("Exchange hashpartitioning") == 1 and "Python" not in plan
-    assert "Exchange hashpartitioning(id#" in plan
+    assert "Exchange hashpartitioning" not in plan and "MapInArrow" in plan
+
+    plan = physical_plan(bagofwords.bow_entries(stored, words))
+    assert "Exchange hashpartitioning" not in plan and "Python" not in plan
     assert "BroadcastHashJoin" in plan and "Cartesian" not in plan
+
+    plan = physical_plan(bagofwords.collect_corpus(bagofwords.bow_entries(stored, words)))
+    assert plan.count("Exchange hashpartitioning") == 1 and "Exchange hashpartitioning(id#" in plan
