@@ -188,6 +188,7 @@ ORACLE: dict[str, str] = {
     " select id, len(words) as n_words, array_to_string(words, ' ') as words from sets",
     "word_breaks": f"select page_id, array_to_string({breaks('''lower(html || ' ' || url)''')}, ' ') as words from pages",
     "letter_words": f"select word, count(*) as cnt from (select unnest({simple('html')}) as word from pages) group by word",
+    "sentence_words": f"select doc_id as id, array_to_string({breaks('text')}, ' ') as words from documents",
     "stopword_filter": f"with {COUNTS} select word, cast(sum(cnt) as bigint) as cnt from counts"
     f" where word not in ({STOP}) group by word",
     "stopword_tokens": f"with {DOCS}, kept as (select id, list_filter(tokens, lambda x: x not in ({STOP})) as tokens from docs)"

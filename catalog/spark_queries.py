@@ -97,6 +97,11 @@ def sentence_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sentence_words_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = inputs.documents(spark, sf_dir)
+    return texts.select("id", joined(F.flatten(sentence_words(F.col("text")))).alias("words"))
+
+
 def letter_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         explode_values(inputs.pages(spark, sf_dir), broken_words(F.col("html")), "word")
@@ -525,6 +530,7 @@ QUERIES: dict[str, Query] = {
     "word_breaks": word_breaks,
     "letter_words": letter_words,
     "sentence_split": sentence_split,
+    "sentence_words": sentence_words_in_order,
     "stopword_filter": stopword_filter,
     "stopword_tokens": stopword_tokens,
     "lexicon_tokens": lexicon_tokens,
