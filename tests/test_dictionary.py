@@ -200,12 +200,25 @@ def write_lines(spark, lines):
 
 
 def test_corpus_rows_of_all_forms(spark):
-    path = write_lines(spark, [" # note", "9 3", "0;1,8;2,1", "", "5;;", " 7;0;2.5 "])
+    path = write_lines(spark, [" # note ;-)", "9 3", "0;1,8;2,1", "", "5;;", " 7;0;2.5 "])
     assert sources.read_corpus_header(spark, path) == (9, 3)
     rows = {r.id: (r.words, r.counts) for r in sources.read_corpus(spark, path).collect()}
     assert rows == {0: ([1, 8], [2.0, 1.0]), 5: ([], []), 7: ([0], [2.5])}
 
 
+@pytest.mark.parametrize("row", ["x;1;1", "1;a;1", "1;1;b"])
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_rows_without_numbers_fail_the_read(spark, row, ansi):
+    path = write_lines(spark, ["# c", "9 3", row])
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        with pytest.raises(Exception, match="not a number"):
+            sources.read_corpus(spark, path).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
 def test_corpus_without_header_is_refused(spark):
     with pytest.raises(ValueError):
         sources.read_corpus_header(spark, write_lines(spark, ["0;1;1"]))
