@@ -2,21 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.arrays import explode_values
+from corpusloom.operators.rowlookup import LOOKUP_BYTES, number_words
 from corpusloom.runtime import fits_broadcast
 
-#: Largest dictionary, in bytes, that every Python worker holds for row-wise lookups.
-#: A million words of usual length take about half of it.
-LOOKUP_BYTES = 64 * 1024 * 1024
-
 #: Rows of one word that may meet in one task when the dictionary is shuffled.
 HOT_WORD_ROWS = 1_000_000
 
@@ -76,47 +68,6 @@ def collect_corpus(cells: DataFrame) -> DataFrame:
     )
 
 
-def lookup_corpus(counts: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """``id, words, counts`` of every document, looked up inside its row.
-
-    No row is moved: the dictionary, of checked size, goes to all workers, and
-    Arrow's hash lookup turns the words of a whole batch into numbers at once.
-    Documents without a dictionary word keep a row with empty arrays.
-    """
-    table = dictionary.select("word", "id").toArrow()
-    shared = counts.sparkSession.sparkContext.broadcast(
-        (table["word"].combine_chunks(), table["id"].to_numpy())
-    )
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, numbers = shared.value
-        for batch in batches:
-            words = batch.column("words")
-            found = pc.index_in(words.flatten(), known.cast(words.type.value_type))
-            at = found.fill_null(-1).to_numpy()
-            hit = at >= 0
-            row = np.repeat(np.arange(len(words)), np.diff(words.offsets.to_numpy()))[hit]
-            word_ids = numbers[at[hit]].astype(np.int32)
-            uses = batch.column("counts").flatten().to_numpy()[hit]
-            order = np.lexsort((word_ids, row))
-            ends = np.cumsum(np.bincount(row, minlength=len(words)))
-            offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("id"),
-                    pa.ListArray.from_arrays(offsets, pa.array(word_ids[order], pa.int32())),
-                    pa.ListArray.from_arrays(offsets, pa.array(uses[order], pa.int32())),
-                ],
-                ["id", "words", "counts"],
-            )
-
-    parts = counts.select(
-        "id", F.col("terms.word").alias("words"), F.col("terms.cnt").alias("counts")
-    )
-    id_type = counts.schema["id"].dataType.simpleString()
-    return parts.mapInArrow(number, f"id {id_type}, words array<int>, counts array<int>")
-
-
 def bag_of_words(
     counts: DataFrame,
     dictionary: DataFrame,
@@ -131,7 +82,7 @@ def bag_of_words(
     collected again by one shuffle.
     """
     if fits_broadcast(dictionary.select("word", "id"), lookup_limit):
-        corpus = lookup_corpus(counts, dictionary)
+        corpus = number_words(counts, dictionary)
         return corpus if keep_empty else corpus.where(F.size("words") > 0)
     corpus = collect_corpus(bow_entries(counts, dictionary, lookup_limit))
     if not keep_empty:

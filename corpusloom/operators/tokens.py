@@ -15,6 +15,13 @@ from corpusloom.functions.words import (
     mail_words,
     terms,
 )
+from corpusloom.operators.bagofwords import HOT_WORD_ROWS, MAX_HOT_WORDS
+from corpusloom.operators.rowlookup import (
+    LOOKUP_BYTES,
+    counted_words,
+    lemmatize_words,
+    single_words,
+)
 from corpusloom.runtime import fits_broadcast, materialize
 
 #: Tag given to words the lexicon does not know.
@@ -34,6 +41,7 @@ def tokenize_mail(
     lexicon: DataFrame | None = None,
     stopwords: Iterable[str] | None = ENGLISH_STOP_WORDS,
     id_column: str = "id",
+    lookup_limit: int = LOOKUP_BYTES,
 ) -> DataFrame:
     """Mail tokenizer: ``id, tokens`` in text order, lemmatized and tag-filtered.
 
@@ -46,14 +54,21 @@ def tokenize_mail(
     stop = sorted(set(PUNCTUATION_WORDS).union(stopwords or ()))
     if lexicon is None:
         return words.select("id", F.filter("tokens", lambda w: ~w.isin(stop)).alias("tokens"))
+    entries = _entries(lexicon)
+    if fits_broadcast(entries, lookup_limit):
+        found = lemmatize_words(single_words(words), entries)
+        return found.select(
+            "id", F.filter("words", lambda w: ~w.isin(stop)).alias("tokens")
+        )
     placed = words.select("id", F.posexplode_outer("tokens").alias("pos", "surface"))
-    lemmas = _join_lexicon(placed, lexicon)
     # Words that are not kept become null, which collect_list leaves out, so a
     # document without a surviving word keeps its row.
+    kept = F.when(_kept(stop), F.struct("pos", "lemma"))
     return (
-        lemmas.groupBy("id")
-        .agg(F.sort_array(F.collect_list(F.when(_kept(stop), F.struct("pos", "lemma")))).alias("p"))
-        .select("id", F.col("p.lemma").alias("tokens"))
+        _join_lexicon(placed, entries)
+        .groupBy("id")
+        .agg(F.sort_array(F.collect_list(kept)).alias("placed"))
+        .select("id", F.col("placed.lemma").alias("tokens"))
     )
 
 
@@ -70,6 +85,7 @@ def apply_lexicon(
     counts: DataFrame,
     lexicon: DataFrame,
     stopwords: Iterable[str] | None = ENGLISH_STOP_WORDS,
+    lookup_limit: int = LOOKUP_BYTES,
 ) -> DataFrame:
     """Lemmatize and tag-filter ``id, terms`` rows; equal lemmas are added up.
 
@@ -77,31 +93,57 @@ def apply_lexicon(
     counted words of each document instead of every single token.
     """
     stop = sorted(set(PUNCTUATION_WORDS).union(stopwords or ()))
-    entries = counts.select("id", F.explode_outer("terms").alias("t"))
-    joined = _join_lexicon(entries.select("id", F.col("t.word").alias("surface"), "t.cnt"), lexicon)
-    return (
-        joined.groupBy("id")
-        .agg(F.collect_list(F.when(_kept(stop), F.struct("lemma", "cnt"))).alias("lemmas"))
-        .select(
-            "id",
-            value_counts(
-                F.flatten(F.transform("lemmas", lambda x: F.array_repeat(x["lemma"], x["cnt"])))
-            ).alias("terms"),
+    entries = _entries(lexicon)
+    if fits_broadcast(entries, lookup_limit):
+        pairs = F.filter(F.arrays_zip("words", "counts"), lambda p: ~p["words"].isin(stop))
+        lemmas = lemmatize_words(counted_words(counts), entries).select("id", pairs.alias("pairs"))
+    else:
+        words = counts.select("id", F.explode_outer("terms").alias("t"))
+        joined = _join_lexicon(
+            words.select("id", F.col("t.word").alias("surface"), "t.cnt"), entries
         )
-    )
+        pair = F.struct(F.col("lemma").alias("words"), F.col("cnt").alias("counts"))
+        lemmas = joined.groupBy("id").agg(F.collect_list(F.when(_kept(stop), pair)).alias("pairs"))
+    repeated = F.transform("pairs", lambda p: F.array_repeat(p["words"], p["counts"]))
+    return lemmas.select("id", value_counts(F.flatten(repeated)).alias("terms"))
+
+
+def _entries(lexicon: DataFrame) -> DataFrame:
+    """One ``surface, lemma, kept`` row per word of a lexicon, in lower case, stored."""
+    entry = F.min(F.struct(F.lower("lemma").alias("lemma"), "tag")).alias("entry")
+    unique = lexicon.groupBy(F.lower("surface").alias("surface")).agg(entry)
+    kept = F.coalesce("entry.tag", F.lit(UNKNOWN_TAG)).isin(KEPT_TAGS)
+    return materialize(unique.select("surface", "entry.lemma", kept.alias("kept")), "lexicon")
 
 
 def _kept(stop: list[str]) -> Column:
-    tagged = F.coalesce("tag", F.lit(UNKNOWN_TAG)).isin(KEPT_TAGS)
-    return F.col("lemma").isNotNull() & tagged & ~F.col("lemma").isin(stop)
+    return F.col("lemma").isNotNull() & F.coalesce("kept", F.lit(True)) & ~F.col("lemma").isin(stop)
 
 
-def _join_lexicon(words: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """Add ``lemma`` and ``tag`` to rows with a ``surface`` word."""
-    entries = lexicon.groupBy(F.lower("surface").alias("surface")).agg(
-        F.min(F.struct(F.lower("lemma").alias("lemma"), "tag")).alias("entry")
-    )
-    entries = materialize(entries.select("surface", "entry.lemma", "entry.tag"), "lexicon")
+def _join_lexicon(words: DataFrame, entries: DataFrame) -> DataFrame:
+    """Add ``lemma`` and ``kept`` to rows with a ``surface`` word, which may be null.
+
+    A lexicon too large to broadcast is joined by a shuffle, except for the few
+    words with very many rows, whose entries are broadcast.
+    """
     if fits_broadcast(entries):
-        entries = F.broadcast(entries)
-    return words.join(entries, "surface", "left").withColumn("lemma", F.coalesce("lemma", "surface"))
+        joined = words.join(F.broadcast(entries), "surface", "left")
+    else:
+        uses = words.groupBy("surface").agg(F.count("surface").alias("n"))
+        uses = materialize(uses, "uses")
+        total = uses.agg(F.sum("n")).first()[0] or 0
+        bound = max(HOT_WORD_ROWS, total // MAX_HOT_WORDS)  # at most so many words reach it
+        hot = uses.where(F.col("n") >= bound).select("surface")
+        hot_entries = materialize(entries.join(F.broadcast(hot), "surface"), "hot-entries")
+        plain = words.join(F.broadcast(hot), "surface", "left_anti")
+        parts = [
+            words.join(F.broadcast(hot), "surface", "left_semi").join(
+                F.broadcast(hot_entries), "surface", "left"
+            ),
+            plain.where(F.col("surface").isNotNull()).join(entries, "surface", "left"),
+            plain.where(F.col("surface").isNull())
+            .withColumn("lemma", F.lit(None).cast("string"))
+            .withColumn("kept", F.lit(None).cast("boolean")),
+        ]
+        joined = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return joined.withColumn("lemma", F.coalesce("lemma", "surface"))

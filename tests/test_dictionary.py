@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from corpusloom import sinks, sources
 from corpusloom.operators import bagofwords, dictionary
 from corpusloom.operators.numbering import dense_index
+from corpusloom.operators.rowlookup import LOOKUP_BYTES
 from corpusloom.operators.tokens import word_counts
 from corpusloom.operators.vectors import from_vectors, lookup_vectors, to_vectors
 from corpusloom.runtime import fits_broadcast, scratch_path, scratch_root, spread, value_bytes
@@ -92,7 +93,7 @@ def test_join_strategies_agree(counts, limit, hot_rows):
 
 
 @pytest.mark.parametrize("keep_empty", [False, True])
-@pytest.mark.parametrize("limit", [0, bagofwords.LOOKUP_BYTES])
+@pytest.mark.parametrize("limit", [0, LOOKUP_BYTES])
 def test_documents_without_words(counts, keep_empty, limit):
     words = dictionary.vocabulary(counts, 3)
     want = expected_bow({r.word: r.id for r in words.collect()})

@@ -2,10 +2,13 @@ from __future__ import annotations
 
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.functions.arrays import value_counts, without_trailing_empty
 from corpusloom.functions.words import PUNCTUATION_WORDS, broken_words, is_term, mail_words, terms
+from corpusloom.operators import tokens as tokens_module
+from corpusloom.operators.rowlookup import LOOKUP_BYTES
 from corpusloom.operators.tokens import apply_lexicon, tokenize, tokenize_mail, word_counts
 
 
@@ -69,17 +72,26 @@ LEXICON = [
 ]
 
 
-def test_lexicon_lemmatizes_and_filters_tags(spark):
+@pytest.mark.parametrize("way", ["in rows", "broadcast", "shuffle", "hot words"])
+def test_lexicon_lemmatizes_and_filters_tags(spark, way, monkeypatch):
+    limit = LOOKUP_BYTES if way == "in rows" else 0
+    if way in ("shuffle", "hot words"):
+        monkeypatch.setattr(tokens_module, "fits_broadcast", lambda df, limit=None: False)
+    if way == "hot words":
+        monkeypatch.setattr(tokens_module, "HOT_WORD_ROWS", 2)
     lexicon = spark.createDataFrame(LEXICON, "surface string, lemma string, tag string")
     docs = spark.createDataFrame(
-        [(1, "The boss walked; Rex walks. It can."), (2, "the can"), (3, "")], "id long, text string"
+        [(1, "The boss walked; Rex walks. It can."), (2, "the can"), (3, ""), (4, "walked")],
+        "id long, text string",
     )
-    rows = {r.id: r.tokens for r in tokenize_mail(docs, "text", lexicon).collect()}
-    assert rows == {1: ["boss", "walk", "rex", "walk"], 2: [], 3: []}
+    found = tokenize_mail(docs, "text", lexicon, lookup_limit=limit)
+    want = {1: ["boss", "walk", "rex", "walk"], 2: [], 3: [], 4: ["walk"]}
+    assert {r.id: r.tokens for r in found.collect()} == want
 
-    counts = apply_lexicon(word_counts(tokenize_mail(docs, "text", stopwords=None)), lexicon)
+    plain = word_counts(tokenize_mail(docs, "text", stopwords=None))
+    counts = apply_lexicon(plain, lexicon, lookup_limit=limit)
     got = {r.id: {t.word: t.cnt for t in r.terms} for r in counts.collect()}
-    assert got == {1: {"boss": 1, "walk": 2, "rex": 1}, 2: {}, 3: {}}
+    assert got == {i: dict(Counter(words)) for i, words in want.items()}
 
 
 def test_without_a_lexicon_all_but_stop_words_stay(spark):
