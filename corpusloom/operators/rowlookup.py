@@ -6,14 +6,19 @@ collected again.  Arrow looks up the words of a whole batch with one hash table.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# The functions below travel with the job, so executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Largest table, in bytes, that every Python worker holds for row-wise lookups.
 #: A dictionary of a million words of usual length takes about half of it.
 LOOKUP_BYTES = 64 * 1024 * 1024

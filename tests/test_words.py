@@ -1,12 +1,16 @@
 from __future__ import annotations
 
+import subprocess
+import sys
 from collections import Counter
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from corpusloom.functions.arrays import value_counts, without_trailing_empty
 from corpusloom.functions.words import PUNCTUATION_WORDS, broken_words, is_term, mail_words, terms
+from corpusloom.operators import rowlookup
 from corpusloom.operators import tokens as tokens_module
 from corpusloom.operators.rowlookup import LOOKUP_BYTES
 from corpusloom.operators.tokens import apply_lexicon, tokenize, tokenize_mail, word_counts
@@ -107,3 +111,15 @@ def test_punctuation_words():
 def test_tokenize_keeps_documents_without_words(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, "word")], "id long, text string")
     assert {r.id: r.tokens for r in tokenize(docs).collect()} == {1: [], 2: ["word"]}
+
+
+def test_workers_need_no_package(tmp_path):
+    """Functions that run in Python workers are sent along with the job."""
+    payload = cloudpickle.dumps(rowlookup._find)
+    script = (
+        "import pickle, sys, pyarrow as pa;"
+        "find = pickle.loads(sys.stdin.buffer.read());"
+        "print(find(pa.array(['b', 'x']), pa.array(['a', 'b'])).tolist(), 'corpusloom' in sys.modules)"
+    )
+    done = subprocess.run([sys.executable, "-c", script], input=payload, cwd=tmp_path, capture_output=True)
+    assert done.stdout.decode().split("\n")[0] == "[1, -1] False", done.stderr.decode()
