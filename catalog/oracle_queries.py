@@ -140,7 +140,7 @@ MAIL_COUNTS = (
     + dictionary_cte("floor(0.5 * (select count(*) from conversations))", 2)
 )
 TO_LIST = (
-    "'a' || turn || '@one.example|\"Smith, Jo\" <jo@two.example>|houston <.ward@three.example>"
+    "'a' || turn || '@one.example|\"Smith, Jo\" <jo@two.example>|boston <.lane@three.example>"
     "|Plain Name <p@four.example>|bare@five.example'"
 )
 SENDER = _ADDRESS
@@ -171,10 +171,10 @@ _MD5_NUMBER = "cast('0x' || substr(md5(cast({} as varchar)), 1, 8) as bigint)"
 SAMPLE_TEST = f"{_MD5_NUMBER} < {int(SAMPLE * 2**32)}"
 
 
-def _seq_preprocess() -> str:
+def _text_job_vectors() -> str:
     docs = f"docs as (select doc_id as id, list_filter({simple('text')}, lambda x: x not in ({STOP})) as tokens"
     return (
-        f"with {docs} from documents where {SAMPLE_TEST.format('doc_id')}),"
+        f"with {docs} from documents),"
         " counts as (select id, word, count(*) as cnt from (select id, unnest(tokens) as word from docs) group by id, word),"
         f" {vocabulary_cte(SMALL_VOCABULARY)}, {entries_cte('vocab')}"
         " select d.id, cast(d.id as varchar) as path, coalesce(e.words, '') as words, coalesce(e.counts, '') as counts"
@@ -248,8 +248,8 @@ ORACLE: dict[str, str] = {
     "mime_repair": f"select {KEY} as id, {inputs.REPAIRED_SQL} as contents from conversations",
     "email_contents": f"with {MAIL_TEXT} select id, text as contents from mail",
     "email_tokens": f"with {MAIL_TOKENS} select id, array_to_string(tokens, ' ') as tokens from docs",
-    "email_pipeline": f"{MAIL_COUNTS}, {entries_cte('dict')} {CORPUS_LINES}",
-    "email_pipeline_dictionary": f"{MAIL_COUNTS} select id, word, occurrences from dict",
+    "email_job": f"{MAIL_COUNTS}, {entries_cte('dict')} {CORPUS_LINES}",
+    "email_job_dictionary": f"{MAIL_COUNTS} select id, word, occurrences from dict",
     "lda_em_topics": f"{VOCABULARY_SQL} select id as word_id, word, cast({TOPICS} as bigint) as n_topics,"
     " cast(cnt as double) as uses from vocab",
     "lda_online_topics": f"{VOCABULARY_SQL} select cast(topic as integer) as topic, (select count(*) from vocab) as n_words,"
@@ -260,11 +260,11 @@ ORACLE: dict[str, str] = {
     "topic_matrix_topics": f"{VOCABULARY_SQL} select count(*) as n_values, cast({TOPICS} as bigint) as n_lines from vocab",
     "model_roundtrip": f"{VOCABULARY_DOCS} select cast(topic as integer) as topic,"
     f" (select count(*) from kept) as n_docs, true as same from range({TOPICS}) t(topic)",
-    "train_pipeline": f"{ENTRIES} select (select count(*) from dict) as n_words,"
+    "train_job_totals": f"{ENTRIES} select (select count(*) from dict) as n_words,"
     " cast(sum(cnt) as double) as n_tokens from entries",
-    "apply_pipeline": f"{ENTRIES} select id, cast({TOPICS} as bigint) as n_topics, cast(1 as double) as total"
+    "apply_job_lines": f"{ENTRIES} select id, cast({TOPICS} as bigint) as n_topics, cast(1 as double) as total"
     " from entries group by id",
-    "seq_preprocess": _seq_preprocess(),
-    "seq_pipeline": f"with {COUNTS}, {vocabulary_cte(SMALL_VOCABULARY)} select count(*) as n_values,"
+    "text_job_vectors": _text_job_vectors(),
+    "text_job_matrix": f"with {COUNTS}, {vocabulary_cte(SMALL_VOCABULARY)} select count(*) as n_values,"
     f" cast({TOPICS} as bigint) as n_lines from vocab",
 }

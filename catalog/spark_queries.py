@@ -380,7 +380,7 @@ def mail_outputs(spark: SparkSession, sf_dir: str, **wanted: str):
     return mail_job(inputs.mails(spark, sf_dir), below=2, **wanted)
 
 
-def email_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def email_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "mail-corpus")
     mail_outputs(
         spark,
@@ -392,7 +392,7 @@ def email_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
-def email_pipeline_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+def email_job_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "mail-dictionary")
     mail_outputs(spark, sf_dir, dictionary=path)
     return sources.read_dictionary(spark, path)
@@ -458,7 +458,7 @@ def topic_matrix(orient: str) -> Query:
     return run
 
 
-def train_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def train_job_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Corpus file to matrix file; the word rows of an EM matrix add up to all tokens."""
     out = scratch_path(spark, "trained")
     train_job(spark, corpus_file(spark, sf_dir), out, k=TOPICS, max_iterations=ITERATIONS)
@@ -469,7 +469,7 @@ def train_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def apply_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def apply_job_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Corpus file and saved model to the lines of topic proportions."""
     corpus = corpus_file(spark, sf_dir)
     out, proportions = scratch_path(spark, "trained"), scratch_path(spark, "proportions")
@@ -484,24 +484,24 @@ def apply_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def seq_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def text_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.documents(spark, sf_dir).select(
         "id", F.col("id").cast("string").alias("path"), F.col("text").alias("document")
     )
 
 
-def seq_preprocess(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The text job up to training, on a hash sample: vectors and paths."""
-    sampled = sources.sample_by_hash(seq_documents(spark, sf_dir), F.col("id"), SAMPLE)
-    ready = preprocess(sampled, fraction=1.0, vocab_size=SMALL_VOCABULARY, stopwords=ENGLISH_STOP_WORDS)
+def text_job_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text job up to training: vectors and paths of all documents."""
+    texts = text_documents(spark, sf_dir)
+    ready = preprocess(texts, fraction=1.0, vocab_size=SMALL_VOCABULARY, stopwords=ENGLISH_STOP_WORDS)
     return arrays_as_text(vectors.from_vectors(ready.vectors)).join(ready.lookup, "id")
 
 
-def seq_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def text_job_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole text job; shape of its topics x words matrix."""
     out = scratch_path(spark, "text-job")
     text_job(
-        seq_documents(spark, sf_dir), out, fraction=1.0, vocab_size=SMALL_VOCABULARY,
+        text_documents(spark, sf_dir), out, fraction=1.0, vocab_size=SMALL_VOCABULARY,
         k=TOPICS, max_iterations=ITERATIONS,
     )
     values = F.size(F.split("value", ",")).cast("long").alias("n_values")
@@ -575,8 +575,8 @@ QUERIES: dict[str, Query] = {
     "mime_repair": mime_repair,
     "email_contents": email_contents,
     "email_tokens": email_tokens,
-    "email_pipeline": email_pipeline,
-    "email_pipeline_dictionary": email_pipeline_dictionary,
+    "email_job": email_job,
+    "email_job_dictionary": email_job_dictionary,
     # topics
     "lda_em_topics": lda_em_topics,
     "lda_online_topics": lda_online_topics,
@@ -584,8 +584,8 @@ QUERIES: dict[str, Query] = {
     "topic_matrix_words": topic_matrix("words"),
     "topic_matrix_topics": topic_matrix("topics"),
     "model_roundtrip": model_roundtrip,
-    "train_pipeline": train_pipeline,
-    "apply_pipeline": apply_pipeline,
-    "seq_preprocess": seq_preprocess,
-    "seq_pipeline": seq_pipeline,
+    "train_job_totals": train_job_totals,
+    "apply_job_lines": apply_job_lines,
+    "text_job_vectors": text_job_vectors,
+    "text_job_matrix": text_job_matrix,
 }
