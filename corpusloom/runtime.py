@@ -24,7 +24,6 @@ BROADCAST_LIMIT_BYTES = 256 * 1024 * 1024
 SPREAD_BELOW_PARTITIONS = 64
 
 _ROW_OVERHEAD_BYTES = 32
-_local_scratch: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -35,17 +34,15 @@ def scratch_root(spark: SparkSession) -> str:
     missing setting is an error, as a machine-local folder would be unreadable
     for the other executors.
     """
-    configured = spark.conf.get(CHECKPOINT_CONF, None)
+    context = spark.sparkContext
+    configured = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors can reach")
-    app = context.applicationId
-    if app not in _local_scratch:
-        _local_scratch[app] = tempfile.mkdtemp(prefix="corpusloom-")
-        context.setCheckpointDir(_local_scratch[app])
-    return _local_scratch[app]
+    folder = tempfile.mkdtemp(prefix="corpusloom-")
+    context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -280,6 +280,32 @@ def test_scratch_folder_is_the_configured_one(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+class Session:
+    """Just what the scratch folder is decided by."""
+
+    def __init__(self, master, configured=None, folder=None):
+        self.master, self.configured, self.folder = master, configured, folder
+        self.conf = self.sparkContext = self
+
+    def get(self, name, default):
+        return self.configured
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_scratch_folder_without_a_setting():
+    assert scratch_root(Session("yarn", "/shared/tmp/")) == "/shared/tmp"
+    assert scratch_root(Session("yarn", folder="/shared/x")) == "/shared/x"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_root(Session("yarn"))
+    local = Session("local[2]")
+    assert scratch_root(local) == scratch_root(local) == local.folder
+
+
 def test_only_small_inputs_are_spread(spark):
     assert spread(spark.range(0, 10, 1, 1), "id").rdd.getNumPartitions() == 8
     many = spark.range(0, 1000, 1, 70)
