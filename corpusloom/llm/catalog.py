@@ -7,12 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.llm import pii
 from corpusloom.llm.common import table
 from corpusloom.llm.quality import add_quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda x: x["base"])
+    kinds = F.transform(base, lambda x: x["kind"])
+    counts = (
+        F.size(F.filter(kinds, F.lit(k).__eq__)).cast("long").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)
+    )
+    digest = F.sha2(pii.listing(base), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, pii.listing(F.col("spans")).alias("spans"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = add_quality(table(spark, sf_dir, "documents"))
     columns = "n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept n_lines_removed n_words_left"
@@ -20,6 +32,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_personal_data": op1_personal_data,
     "op4_quality_rules": op4_quality_rules,
 }
 
