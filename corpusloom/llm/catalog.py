@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import pii
+from corpusloom.llm import pii, records
 from corpusloom.llm.common import table
 from corpusloom.llm.quality import add_quality
 
@@ -31,9 +31,18 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *(F.col(f"quality.{c}") for c in columns.split()))
 
 
+def op9_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    index = records.tokens_by_document(table(spark, sf_dir, "documents"), vocabulary)
+    return index.select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
 QUERIES: dict[str, Query] = {
     "op1_personal_data": op1_personal_data,
     "op4_quality_rules": op4_quality_rules,
+    "op9_binary_records": op9_binary_records,
 }
 
 ORACLE: dict[str, str] = {
