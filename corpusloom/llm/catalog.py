@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import pii, records
 from corpusloom.llm.common import table
+from corpusloom.llm.encoding import encode_documents
 from corpusloom.llm.quality import add_quality
+from corpusloom.llm.tokencounts import count_tokens
+
+PIECES = "piece_bpe_32k.model"
+WORDS = "word_bpe_49k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,17 +37,24 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *(F.col(f"quality.{c}") for c in columns.split()))
 
 
-def op9_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import public_tokenizers
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES), "doc_id")
+
 
-    vocabulary = public_tokenizers.path("word_bpe_49k.json")
-    index = records.tokens_by_document(table(spark, sf_dir, "documents"), vocabulary)
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+
+
+def op9_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = records.tokens_by_document(table(spark, sf_dir, "documents"), public_tokenizers.path(WORDS))
     return index.select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
 QUERIES: dict[str, Query] = {
     "op1_personal_data": op1_personal_data,
     "op4_quality_rules": op4_quality_rules,
+    "op6_sentencepiece": op6_sentencepiece,
+    "op7_token_counts": op7_token_counts,
     "op9_binary_records": op9_binary_records,
 }
 
