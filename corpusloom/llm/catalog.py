@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import pii, records
@@ -13,6 +13,7 @@ from corpusloom.llm.common import table
 from corpusloom.llm.encoding import encode_documents
 from corpusloom.llm.quality import add_quality
 from corpusloom.llm.tokencounts import count_tokens
+from corpusloom.llm.toxicity import toxicity
 
 PIECES = "piece_bpe_32k.model"
 WORDS = "word_bpe_49k.json"
@@ -20,6 +21,11 @@ WORDS = "word_bpe_49k.json"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def fold(key: Column, n: int) -> Column:
+    """The fold of a document: crc32 of its id as text, modulo ``n``."""
+    return F.crc32(key.cast("string").cast("binary")) % n
+
+
 def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda x: x["base"])
@@ -50,12 +56,24 @@ def op9_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = toxicity(docs, labels, usable=lambda key: fold(key, 5) != 0)
+    return scored.select(
+        "doc_id",
+        (fold(F.col("doc_id"), 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_personal_data": op1_personal_data,
     "op4_quality_rules": op4_quality_rules,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_token_counts": op7_token_counts,
     "op9_binary_records": op9_binary_records,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE: dict[str, str] = {
