@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import pii, records
+from corpusloom.llm import langid, pii, records
 from corpusloom.llm.common import table
 from corpusloom.llm.encoding import encode_documents
 from corpusloom.llm.quality import add_quality
@@ -37,6 +37,13 @@ def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, digest, pii.listing(F.col("spans")).alias("spans"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    net = langid.fit(docs, usable=lambda key: fold(key, 4) != 2)
+    held_out = (fold(F.col("doc_id"), 4) == 2).alias("held_out")
+    return langid.predict(docs, net).select("doc_id", held_out, "lang_pred", "score", "position_share")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = add_quality(table(spark, sf_dir, "documents"))
     columns = "n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept n_lines_removed n_words_left"
@@ -69,6 +76,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_personal_data": op1_personal_data,
+    "op2_language_id": op2_language_id,
     "op4_quality_rules": op4_quality_rules,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_token_counts": op7_token_counts,
