@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm import langid, pii, records
 from corpusloom.llm.common import table
+from corpusloom.llm.decontamination import UNITS, contaminated
 from corpusloom.llm.encoding import encode_documents
 from corpusloom.llm.quality import add_quality
 from corpusloom.llm.tokencounts import count_tokens
@@ -44,6 +45,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, net).select("doc_id", held_out, "lang_pred", "score", "position_share")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = add_quality(table(spark, sf_dir, "documents"))
     columns = "n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept n_lines_removed n_words_left"
@@ -77,6 +82,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_personal_data": op1_personal_data,
     "op2_language_id": op2_language_id,
+    "op3_decontamination": op3_decontamination,
     "op4_quality_rules": op4_quality_rules,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_token_counts": op7_token_counts,
@@ -84,7 +90,57 @@ QUERIES: dict[str, Query] = {
     "op10_toxicity": op10_toxicity,
 }
 
+_UNIT_LIST = ", ".join(f"'{u}'" for u in UNITS)
+
 ORACLE: dict[str, str] = {
+    "op3_decontamination": rf"""
+with texts as (
+    select 'd' as side, doc_id as k, text from documents
+    union all select 'b', item_id, max(text) from benchmark group by item_id),
+raw as (
+    select side, k, regexp_extract_all(coalesce(text, ''), '[0-9][0-9.,]*|\p{{L}}[\p{{L}}\p{{M}}''’]*|[.!?\n]') as t
+    from texts),
+tokens as (
+    select side, k, list_filter(list_transform(range(1, len(t) + 1), lambda i: {{
+        'h': case
+            when t[i] in ('.', '!', '?', chr(10)) then null
+            when t[i] >= '0' and t[i] < ':' then '#number'
+            when i > 1 and t[i - 1] >= '0' and t[i - 1] < ':' and lower(t[i]) in ({_UNIT_LIST}) then '#unit'
+            when i > 1 and t[i - 1] not in ('!', '?', chr(10)) and not ends_with(t[i - 1], '.')
+                and lower(t[i]) <> t[i] then '#name'
+            else lower(t[i]) end,
+        'v': regexp_replace(lower(t[i]), '[.,]+$', '')}}), lambda x: x.h is not null) as t
+    from raw),
+split as (
+    select side, k, unnest(range(1, len(t) - 4)) as pos,
+        unnest(list_transform(range(1, len(t) - 4), lambda i: t[i:i + 5])) as w
+    from tokens),
+windows as (
+    select side, k, pos, list_transform(w, lambda x: x.h) as h, list_transform(w, lambda x: x.v) as v,
+        len(list_filter(w, lambda x: x.h[1] = '#')) as n_slots from split),
+bench as (
+    select *, count(*) over (partition by k) as n_windows from windows where side = 'b' and n_slots <= 3),
+hits as (
+    select d.k as doc_id, b.k as item, b.pos, b.n_windows, b.h, b.v as own, d.v as here
+    from windows d join bench b on d.h = b.h where d.side = 'd'),
+pairs as (
+    select doc_id, item, count(distinct pos) as n_hits, max(n_windows) as n_windows from hits
+    group by doc_id, item having count(distinct pos) >= 0.4 * max(n_windows)),
+uses as (
+    select doc_id, item, h[o] as kind, own[o] as own, here[o] as here
+    from hits semi join pairs using (doc_id, item), (select unnest(range(1, 7)) as o) where h[o][1] = '#'),
+filled as (select doc_id, item, kind, own, here, count(*) as n from uses group by all),
+best as (
+    select doc_id, item, kind, own, max(n) as most, sum(n) as n, bool_or(own <> here) as changed
+    from filled group by all),
+slots as (
+    select doc_id, item, sum(most) / sum(n) as agreement, bool_or(changed) as changed from best group by all)
+select doc_id, string_agg(cast(item as varchar), ',' order by cast(item as varchar)) as item_ids, count(*) as n_items,
+    cast(sum(n_hits) as bigint) as n_windows, max(n_hits / n_windows) as coverage,
+    bool_or(coalesce(changed, false)) as reparameterised
+from pairs left join slots using (doc_id, item) where coalesce(agreement, 1.0) >= 0.6
+group by doc_id
+""",
     "op4_quality_rules": r"""
 with docs as (
     select row_number() over () as r, doc_id, coalesce(text, '') as text, text is not null as held,
