@@ -12,6 +12,7 @@ from corpusloom.llm import langid, pii, records
 from corpusloom.llm.common import table
 from corpusloom.llm.decontamination import UNITS, contaminated
 from corpusloom.llm.encoding import encode_documents
+from corpusloom.llm.neardup import near_duplicates
 from corpusloom.llm.quality import add_quality
 from corpusloom.llm.tokencounts import count_tokens
 from corpusloom.llm.toxicity import toxicity
@@ -55,6 +56,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *(F.col(f"quality.{c}") for c in columns.split()))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES), "doc_id")
 
@@ -84,6 +89,7 @@ QUERIES: dict[str, Query] = {
     "op2_language_id": op2_language_id,
     "op3_decontamination": op3_decontamination,
     "op4_quality_rules": op4_quality_rules,
+    "op5_near_duplicates": op5_near_duplicates,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_token_counts": op7_token_counts,
     "op9_binary_records": op9_binary_records,
