@@ -14,6 +14,7 @@ from corpusloom.llm.decontamination import UNITS, contaminated
 from corpusloom.llm.encoding import encode_documents
 from corpusloom.llm.neardup import near_duplicates
 from corpusloom.llm.quality import add_quality
+from corpusloom.llm.repeats import remove_repeats
 from corpusloom.llm.tokencounts import count_tokens
 from corpusloom.llm.toxicity import toxicity
 
@@ -68,6 +69,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = records.tokens_by_document(table(spark, sf_dir, "documents"), public_tokenizers.path(WORDS))
     return index.select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
@@ -92,6 +97,7 @@ QUERIES: dict[str, Query] = {
     "op5_near_duplicates": op5_near_duplicates,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_token_counts": op7_token_counts,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_binary_records": op9_binary_records,
     "op10_toxicity": op10_toxicity,
 }
