@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from corpusloom.llm import langid, pii, records
 from corpusloom.llm.common import table
 from corpusloom.llm.decontamination import UNITS, contaminated
@@ -100,6 +101,7 @@ QUERIES: dict[str, Query] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_binary_records": op9_binary_records,
     "op10_toxicity": op10_toxicity,
+    "pipeline": corpus_pipeline.run,
 }
 
 _UNIT_LIST = ", ".join(f"'{u}'" for u in UNITS)
