@@ -112,7 +112,7 @@ with texts as (
     select 'd' as side, doc_id as k, text from documents
     union all select 'b', item_id, max(text) from benchmark group by item_id),
 raw as (
-    select side, k, regexp_extract_all(coalesce(text, ''), '[0-9][0-9.,]*|\p{{L}}[\p{{L}}\p{{M}}''’]*|[.!?\n]') as t
+    select side, k, regexp_extract_all(coalesce(text, ''), '[0-9][0-9.,]*|\p{{L}}[\p{{L}}\p{{M}}\p{{N}}''’]*|[.!?\n]') as t
     from texts),
 tokens as (
     select side, k, list_filter(list_transform(range(1, len(t) + 1), lambda i: {{

@@ -30,8 +30,8 @@ LITERALS = 3
 COVERAGE = 0.4
 CONSISTENT = 0.6
 
-#: Letters, numbers, and the marks that end a sentence.
-TOKEN = r"[0-9][0-9.,]*+|\p{L}[\p{L}\p{M}'’]*+|[.!?\n]"
+#: Numbers, words (which may hold digits), and the marks that end a sentence.
+TOKEN = r"[0-9][0-9.,]*+|\p{L}[\p{L}\p{M}\p{N}'’]*+|[.!?\n]"
 NUMBER, NAME, UNIT = -1, -2, -3
 
 # Words that are units behind a number.
@@ -115,7 +115,8 @@ def benchmark_windows(items: DataFrame, key: str = "item_id", text: str = "text"
 
 def candidates(docs: DataFrame, windows: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc, item, n_hits, n_windows`` of documents that hold enough of an item's windows."""
-    hashed = let(template(F.col(text)), lambda t: F.transform(_starts(t), lambda i: _window(t, i)))
+    # a text's equal windows are one
+    hashed = F.array_distinct(let(template(F.col(text)), lambda t: F.transform(_starts(t), lambda i: _window(t, i))))
     held = docs.select(F.col(key).alias("doc"), F.explode(hashed).alias("window"))
     keys = windows.select("window", "item", "n_windows", "pos")
     hits = held.join(broadcast_if_small(keys), "window")
