@@ -26,19 +26,19 @@ from __future__ import annotations
 import os
 import struct
 import sys
-import unicodedata
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import broadcast_if_small, materialize
-from corpusloom.llm.worker import kept
+from corpusloom.llm.worker import kept, sliced
 from corpusloom.runtime import scratch_path
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -48,8 +48,11 @@ END_ID = 2
 #: Records of a file; a reading task holds one file.
 FILE_RECORDS = 8192
 
-#: Words whose ids a Python worker keeps, about 150 MB; a full cache starts anew.
-CACHED_WORDS = 1 << 19
+#: Words whose ids a Python worker keeps, about 150 MB; a full cache keeps the slice's own.
+CACHED_WORDS = 3 << 18
+
+#: Characters beyond those whose lower case is one other character and needs no composing.
+_OTHER = r"[^\x{0}-\x{12F}\x{131}-\x{24F}]"
 
 MASK_DELTA = 0xA282EAD8
 _HEAD = "<QI"
@@ -91,13 +94,23 @@ def parsed(payload: memoryview) -> tuple[int | None, np.ndarray]:
     return (None if flags & _NULL_ID else doc), ids
 
 
+def _gathered(flat: np.ndarray, start: np.ndarray, length: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces ``flat[start[i] : start[i] + length[i]]`` of every i of index in a row, and their lengths."""
+    n = length[index]
+    ends = np.cumsum(n)
+    place = np.repeat(start[index] - (ends - n), n)
+    place += np.arange(len(place))
+    return flat[place], n
+
+
 class WordEncoder:
-    """Texts to packed ids; the library encodes every new word once.
+    """Texts to ids; the library encodes every new word once.
 
     Tokens never reach across a space or line feed, so a text's ids are those of its words
-    in a row.  Lower case and a final stop or comma are taken off before the library is
-    asked, where that changes nothing: the vocabulary lowers its input itself, and letters
-    and marks are separate pre-tokens.
+    in a row, and the distinct words of a batch are enough.  The vocabulary lowers its input
+    and keeps letters and marks apart, so texts of Latin letters are lowered first, and a
+    final stop or comma is taken off a word.  Other texts, and those that might spell a
+    special token, keep their words as they are.
     """
 
     def __init__(self, path: str) -> None:
@@ -105,56 +118,75 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.wide = self.library.get_vocab_size() > 1 << 16
+        self.kind = np.dtype("<u4" if self.library.get_vocab_size() > 1 << 16 else "<u2")
         self.known: dict[str, bytes] = {"": b""}
 
-    def pack(self, ids: list[int]) -> bytes:
-        return array("I" if self.wide else "H", ids).tobytes()
-
-    def _parts(self, word: str) -> tuple[str, ...]:
-        if max(word) >= "ɐ":
-            return (word,)
-        low = word.lower()
-        if not (unicodedata.is_normalized("NFC", word) and unicodedata.is_normalized("NFC", low)):
-            return (word,)
-        return (low[:-1], low[-1]) if low[-1] in ".," and low[:-1].isalpha() else (low,)
-
-    def learn(self, words: set[str]) -> None:
+    def _lookup(self, words: list[str]) -> list[bytes]:
+        """Packed ids of distinct words."""
         known = self.known
-        if len(known) + len(words) > CACHED_WORDS:
-            known.clear()
-            known[""] = b""
-        new = {w: self._parts(w) for w in words.difference(known)}
-        asked = list({p for parts in new.values() for p in parts}.difference(known))
-        for a in range(0, len(asked), 4096):
-            some = asked[a : a + 4096]
+        missing = [w for w in words if w not in known]
+        if len(known) + len(missing) > CACHED_WORDS:
+            known = {w: known[w] for w in words if w in known}
+        for a in range(0, len(missing), 4096):
+            some = missing[a : a + 4096]
+            code = "I" if self.kind.itemsize == 4 else "H"
             for word, found in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False)):
-                known[word] = self.pack(found.ids)
-        for word, parts in new.items():
-            known[word] = b"".join([known[p] for p in parts])
-
-    def encode(self, texts: list[str | None], group: int = 512) -> Iterator[bytes]:
-        for a in range(0, len(texts), group):
-            split = [(t or "").replace("\n", " ").split(" ") for t in texts[a : a + group]]
-            needed: set[str] = set()
-            for words in split:
-                needed.update(words)
-            if needed.difference(self.known):
-                self.learn(needed)
-            for words in split:
-                yield b"".join(map(self.known.__getitem__, words))
+                known[word] = array(code, found.ids).tobytes()
+        result = [known[w] for w in words]
+        if len(known) <= CACHED_WORDS:
+            self.known = known
+        return result
+
+    def _table(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        packed = self._lookup(words.to_pylist())
+        length = np.array([len(p) for p in packed], np.int64) // self.kind.itemsize
+        return np.frombuffer(b"".join(packed), self.kind), np.cumsum(length) - length, length
+
+    def _encode(self, texts: pa.Array, plain: bool) -> list[np.ndarray]:
+        if plain:
+            texts = pc.utf8_lower(texts)
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        words = split.flatten().dictionary_encode()
+        names = words.dictionary
+        if plain:
+            stopped = pc.match_substring_regex(names, r"^\pL+[.,]$")
+            heads = pc.if_else(stopped, pc.utf8_slice_codeunits(names, 0, -1), names)
+            tails = pc.if_else(stopped, pc.utf8_slice_codeunits(names, -1), "")
+            # a row of head and tail for every name
+            parts = pa.concat_arrays([heads, tails]).dictionary_encode()
+            table = self._table(parts.dictionary)
+            own = parts.indices.to_numpy().reshape(2, -1).T.ravel()
+            flat, n = _gathered(*table, own)
+            length = n.reshape(-1, 2).sum(axis=1)
+            start = np.cumsum(length) - length
+        else:
+            flat, start, length = self._table(names)
+        ids, n = _gathered(flat, start, length, words.indices.to_numpy())
+        before = np.concatenate([[0], np.cumsum(n)])
+        offsets = split.offsets.to_numpy() - split.offsets[0].as_py()
+        return np.split(ids, before[offsets[1:-1]]) if len(texts) else []
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of every text."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        other = pc.or_(pc.match_substring_regex(texts, _OTHER), pc.match_substring(texts, "<|"))
+        found: list[np.ndarray] = [np.zeros(0, self.kind)] * len(texts)
+        for chosen, plain in ((pc.invert(other), True), (other, False)):
+            for i, ids in zip(np.flatnonzero(chosen), self._encode(texts.filter(chosen), plain)):
+                found[i] = ids
+        return found
 
 
 def _frames(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = kept(f"words of {path}", lambda: WordEncoder(path))
-        end = encoder.pack([end_id])
-        flag = _WIDE if encoder.wide else 0
-        for batch in batches:
+        end = np.array([end_id], encoder.kind).tobytes()
+        flag = _WIDE if encoder.kind.itemsize == 4 else 0
+        for batch in sliced(batches, 1):
             docs = batch.column(0).to_pylist()
             framed = [
-                frame(struct.pack(_DOC, d or 0, flag | (_NULL_ID if d is None else 0)) + ids + end)
-                for d, ids in zip(docs, encoder.encode(batch.column(1).to_pylist()))
+                frame(struct.pack(_DOC, d or 0, flag | (_NULL_ID if d is None else 0)) + ids.tobytes() + end)
+                for d, ids in zip(docs, encoder.encode(batch.column(1)))
             ]
             yield pa.RecordBatch.from_arrays([pa.array(framed, pa.binary())], ["frame"])
 

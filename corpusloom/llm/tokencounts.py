@@ -1,7 +1,7 @@
 """Token counts: one dynamic programme over a trie of distinct units.
 
-Texts are cut into units (see ``pieces``).  The distinct units of an Arrow batch are put
-into a trie, level by level, and the forward scores - the best score of a prefix and its
+Texts are cut into units (see ``pieces``).  The distinct units of a slice of an Arrow batch
+are put into a trie, level by level, and the forward scores - the best score of a prefix and its
 number of ids - are computed once per node, so once per shared prefix.  Every node hands on
 the pieces that are still open: where they began, and how far they have come in the trie of
 pieces; a piece that ends relaxes its node.  Nodes where units end store their counts, and a
@@ -27,11 +27,14 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.encoding import Viterbi
 from corpusloom.llm.pieces import Pieces, unit_names, unit_parts
-from corpusloom.llm.worker import kept
+from corpusloom.llm.worker import kept, sliced
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 TRIE_CHARS = 64
+
+#: Bytes of text whose units make one trie.
+TRIE_BYTES = 16 << 20
 _BITS = 21  # of a code point
 _NONE = np.iinfo(np.int64).min // 2
 
@@ -169,7 +172,7 @@ class Counter:
 def _counted(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = kept(f"piece counts of {path}", lambda: Counter(path))
-        for batch in batches:
+        for batch in sliced(batches, 1, TRIE_BYTES):
             counts = pa.array(counter.documents(batch.column(1).cast(pa.large_string())))
             yield pa.RecordBatch.from_arrays([batch.column(0), counts], ["k0", "n_tokens"])
 

@@ -1,12 +1,15 @@
-"""State that Python workers keep between tasks."""
+"""What Python workers share: state kept between tasks, and slices of bounded size."""
 
 from __future__ import annotations
 
 import sys
 import types
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 
 # These functions travel with the job, so executors need not have this package.
@@ -20,3 +23,19 @@ def kept(name: str, make: Callable[[], Any]) -> Any:
     if name not in state:
         state[name] = make()
     return state[name]
+
+
+#: Bytes of text that a worker takes up at once; a longer text is a slice of its own.
+SLICE_BYTES = 4 << 20
+
+
+def sliced(batches: Iterator[pa.RecordBatch], column: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in slices whose texts in ``column`` take ``limit`` bytes or less."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(), dtype=np.int64)
+        first = 0
+        while first < batch.num_rows:
+            room = limit + (ends[first - 1] if first else 0)
+            last = max(first + 1, int(np.searchsorted(ends, room, side="right")))
+            yield batch.slice(first, last - first)
+            first = last
