@@ -17,6 +17,9 @@ from pyspark.sql import types as T
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+#: Whether Spark drops the shuffle files of a query when the query has ended.
+SHUFFLE_CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: Largest table, in bytes of its values, that is ever sent to every executor.
 BROADCAST_LIMIT_BYTES = 256 * 1024 * 1024
 
@@ -38,7 +41,7 @@ def scratch_root(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not context.master.startswith("local"):
+    if context.master.split("[")[0] != "local":
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors can reach")
     folder = tempfile.mkdtemp(prefix="corpusloom-")
     context.setCheckpointDir(folder)
@@ -70,11 +73,34 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(cores, *keys)
 
 
+def store(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """Write ``df`` as a parquet table in the scratch folder; a scan of it, and its path.
+
+    Nothing reads the shuffle files of the write again, so Spark drops them at its end.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    before = spark.conf.get(SHUFFLE_CLEANUP_CONF, None)
+    spark.conf.set(SHUFFLE_CLEANUP_CONF, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP_CONF)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP_CONF, before)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a parquet table in the scratch folder and return a scan of it."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return store(df, label)[0]
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that no plan will read again."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
 def value_bytes(df: DataFrame) -> int:
