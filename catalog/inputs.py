@@ -129,10 +129,11 @@ RAW_MAIL = (
     f" when 1 then 'FROM: \"Doe, ' || role || '\" <' || {_ADDRESS} || '>'"
     f" else 'Sender: ' || role || ' <' || {_ADDRESS} || '>' end || {CRLF}"
     f" || 'To: a' || turn || '@one.example, \"Smith, Jo\" <jo@two.example>, ' || {CRLF} || chr(9)"
-    " || 'boston <.lane@three.example>,\"Plain Name\"<p@four.example>,  <bare@five.example>'"
+    " || 'dock <-ropes@three.example>,\"Plain Name\"<p@four.example>,  <bare@five.example>'"
     f" || {CRLF}"
     f" || 'Subject: Turn ' || turn || case when turn % 2 = 1 then {CRLF} || '   of talk ' || conv_id else '' end || {CRLF}"
     f" || case when turn % 2 = 0 then 'Cc: cc' || conv_id || '@one.example' || {CRLF} || 'cc: b.c@two.example (Bo C)' || {CRLF} else '' end"
+    f" || case when turn % 4 = 1 then 'Bcc: hidden' || conv_id || '@six.example' || {CRLF} else '' end"
     f" || case when turn > 1 then 'References: <' || conv_id || '.0@x> <' || conv_id || '.1@x>' || {CRLF}"
     f" || 'References: <last@x>' || {CRLF} else '' end"
     f" || 'Mime-Version: 1.0' || {CRLF} || {MAIL_TYPE} || {CRLF} || {MAIL_BODY}"

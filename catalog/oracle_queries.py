@@ -9,7 +9,7 @@ digits joined by marks inside a number.
 from __future__ import annotations
 
 from catalog import inputs
-from catalog.spark_queries import ITERATIONS, KEEP_N, SAMPLE, SMALL_VOCABULARY, TOPICS, VOCABULARY
+from catalog.spark_queries import KEEP_N, SAMPLE, TOPICS, VOCABULARY
 from corpusloom.functions.words import ENGLISH_STOP_WORDS
 
 _LETTERS = r"[\p{L}\p{M}]+"
@@ -75,7 +75,7 @@ ARRAYS = (
     " string_agg(cast(cnt as varchar), ',' order by word_id) as counts"
 )
 KEEP_EMPTY = (
-    f"with {COUNTS}, {vocabulary_cte(SMALL_VOCABULARY)}, {entries_cte('vocab')}"
+    f"with {COUNTS}, {vocabulary_cte(VOCABULARY)}, {entries_cte('vocab')}"
     " select d.id, coalesce(e.words, '') as words, coalesce(e.counts, '') as counts from docs d"
     f" left join (select id, {ARRAYS} from entries group by id) e using (id)"
 )
@@ -140,10 +140,15 @@ MAIL_COUNTS = (
     + dictionary_cte("floor(0.5 * (select count(*) from conversations))", 2)
 )
 TO_LIST = (
-    "'a' || turn || '@one.example|\"Smith, Jo\" <jo@two.example>|boston <.lane@three.example>"
+    "'a' || turn || '@one.example|\"Smith, Jo\" <jo@two.example>|dock <-ropes@three.example>"
     "|Plain Name <p@four.example>|bare@five.example'"
 )
 SENDER = _ADDRESS
+MESSAGE_ID = "'<' || conv_id || '.' || turn || '@mail.example>'"
+SUBJECT = "'Turn ' || turn || case when turn % 2 = 1 then ' of talk ' || conv_id else '' end"
+CC_LIST = "case when turn % 2 = 0 then 'cc' || conv_id || '@one.example|Bo C <b.c@two.example>' else '' end"
+BCC_LIST = "case when turn % 4 = 1 then 'hidden' || conv_id || '@six.example' else '' end"
+REFERENCES = "case when turn > 1 then '<' || conv_id || '.0@x> <' || conv_id || '.1@x>|<last@x>' else '' end"
 
 # --- lexicon ---------------------------------------------------------------------
 
@@ -167,6 +172,10 @@ VOCABULARY_SQL = f"with {COUNTS}, {vocabulary_cte(VOCABULARY)}"
 VOCABULARY_DOCS = (
     f"{VOCABULARY_SQL}, kept as (select distinct c.id from counts c join vocab v using (word))"
 )
+PROPORTIONS = f"cast({TOPICS} as bigint) as n_topics, true as same, cast(1 as double) as total"
+MATRIX_USES = (
+    f"{VOCABULARY_SQL} select id as word_id, cast({TOPICS} as bigint) as n_topics, cast(cnt as double) as uses from vocab"
+)
 _MD5_NUMBER = "cast('0x' || substr(md5(cast({} as varchar)), 1, 8) as bigint)"
 SAMPLE_TEST = f"{_MD5_NUMBER} < {int(SAMPLE * 2**32)}"
 
@@ -176,7 +185,7 @@ def _text_job_vectors() -> str:
     return (
         f"with {docs} from documents),"
         " counts as (select id, word, count(*) as cnt from (select id, unnest(tokens) as word from docs) group by id, word),"
-        f" {vocabulary_cte(SMALL_VOCABULARY)}, {entries_cte('vocab')}"
+        f" {vocabulary_cte(VOCABULARY)}, {entries_cte('vocab')}"
         " select d.id, cast(d.id as varchar) as path, coalesce(e.words, '') as words, coalesce(e.counts, '') as counts"
         f" from docs d left join (select id, {ARRAYS} from entries group by id) e using (id)"
     )
@@ -188,6 +197,9 @@ ORACLE: dict[str, str] = {
     " select id, len(words) as n_words, array_to_string(words, ' ') as words from sets",
     "word_breaks": f"select page_id, array_to_string({breaks('''lower(html || ' ' || url)''')}, ' ') as words from pages",
     "letter_words": f"select word, count(*) as cnt from (select unnest({simple('html')}) as word from pages) group by word",
+    "sentence_split": f"select doc_id as id, len({breaks('text')}) as n_words, array_to_string({breaks('text')}, ' ') as words,"
+    " true as none_empty from documents",
+    "random_sample": "select true as in_table, true as unchanged, true as distinct_rows, true as fair_size",
     "sentence_words": f"select doc_id as id, array_to_string({breaks('text')}, ' ') as words from documents",
     "stopword_filter": f"with {COUNTS} select word, cast(sum(cnt) as bigint) as cnt from counts"
     f" where word not in ({STOP}) group by word",
@@ -197,6 +209,7 @@ ORACLE: dict[str, str] = {
     " coalesce(string_agg(l.word, ' ' order by l.pos), '') as tokens"
     " from words w left join lemmas l using (id) group by w.id",
     "lexicon_counts": f"with {LEMMAS} select id, word, count(*) as cnt from lemmas group by id, word",
+    "lexicon_counts_shuffled": f"with {LEMMAS} select id, word, count(*) as cnt from lemmas group by id, word",
     "doc_frequency": f"with {COUNTS} select word, count(*) as occurrences from counts group by word",
     "term_count": f"with {COUNTS} select word, cast(sum(cnt) as bigint) as cnt from counts group by word",
     "dictionary_docs_base": f"{DICTIONARY} select id, word, occurrences from dict",
@@ -218,11 +231,17 @@ ORACLE: dict[str, str] = {
     "corpus_stats": f"{ENTRIES} select (select count(*) from dict) as n_words, count(distinct id) as n_docs,"
     " count(*) as n_entries, cast(sum(cnt) as bigint) as n_tokens from entries",
     "corpus_lines": f"{ENTRIES} {CORPUS_LINES}",
+    "corpus_lines_any_id": f"{ENTRIES} select cast(0 as bigint) as line_number, '# comment' as line union all"
+    f" select cast(1 as bigint), {CORPUS_SIZE} union all"
+    " select row_number() over (order by id) + 1, (id - 1000000) || ';' || words || ';' || counts from"
+    f" (select id, {ARRAYS} from entries group by id)",
+    "corpus_foreign": f"{ENTRIES} select id, {ARRAYS} from entries group by id",
     "corpus_roundtrip": f"{ENTRIES} select id, {ARRAYS} from entries group by id",
     "matrix_market_roundtrip": f"{ENTRIES} select id, {ARRAYS} from entries group by id",
     "dictionary_tsv": f"{DICTIONARY} select id, word, occurrences from dict",
-    "metadata_table": f"select {KEY} as id, {inputs.DATE_SQL} as date, {SENDER} as sender, {TO_LIST} as to_list"
-    " from conversations",
+    "metadata_table": f"select {KEY} as id, 'inbox/' || conv_id || '/' || turn as path, {MESSAGE_ID} as message_id,"
+    f" {inputs.DATE_SQL} as date, {SENDER} as sender, {SUBJECT} as subject, {TO_LIST} as to_list,"
+    f" {CC_LIST} as cc_list, {BCC_LIST} as bcc_list, {REFERENCES} as references_list from conversations",
     "seqfile_roundtrip": "select cast(doc_id as varchar) as path, text as document from documents",
     "mail_directory": "select 'conv_id=' || conv_id || '/turn=' || turn as path, text || chr(10) as document"
     " from conversations",
@@ -239,8 +258,7 @@ ORACLE: dict[str, str] = {
     " from conversations",
     "email_dates": f"select {KEY} as id, {inputs.DATE_SQL} as date from conversations",
     "email_recipients": f"select {KEY} as id, {TO_LIST} as to_list,"
-    " case when turn % 2 = 0 then 'cc' || conv_id || '@one.example|Bo C <b.c@two.example>' else '' end as cc_list,"
-    " cast(0 as bigint) as n_bcc from conversations",
+    f" {CC_LIST} as cc_list, {BCC_LIST} as bcc_list from conversations",
     "email_references": f"select {KEY} as id, cast(case when turn > 1 then 2 else 0 end as bigint) as n,"
     " case when turn > 1 then '<' || conv_id || '.0@x> <' || conv_id || '.1@x>|<last@x>' else '' end as values"
     " from conversations",
@@ -249,22 +267,20 @@ ORACLE: dict[str, str] = {
     "email_contents": f"with {MAIL_TEXT} select id, text as contents from mail",
     "email_tokens": f"with {MAIL_TOKENS} select id, array_to_string(tokens, ' ') as tokens from docs",
     "email_job": f"{MAIL_COUNTS}, {entries_cte('dict')} {CORPUS_LINES}",
+    "email_job_numbered": f"{MAIL_COUNTS}, {entries_cte('dict')} select 'inbox/' || conv_id || '/' || turn as path, words, counts"
+    f" from (select id, {ARRAYS} from entries group by id) e join conversations on {KEY} = e.id",
     "email_job_dictionary": f"{MAIL_COUNTS} select id, word, occurrences from dict",
     "lda_em_topics": f"{VOCABULARY_SQL} select id as word_id, word, cast({TOPICS} as bigint) as n_topics,"
     " cast(cnt as double) as uses from vocab",
     "lda_online_topics": f"{VOCABULARY_SQL} select cast(topic as integer) as topic, (select count(*) from vocab) as n_words,"
-    f" cast(1 as double) as total_share, true as positive from range({TOPICS}) t(topic)",
-    "lda_doc_topics": f"{VOCABULARY_DOCS} select id, cast({TOPICS} as bigint) as n_topics,"
-    " cast(1 as double) as total from kept",
-    "topic_matrix_words": f"{VOCABULARY_SQL} select cast({TOPICS} as bigint) as n_values, count(*) as n_lines from vocab",
-    "topic_matrix_topics": f"{VOCABULARY_SQL} select count(*) as n_values, cast({TOPICS} as bigint) as n_lines from vocab",
-    "model_roundtrip": f"{VOCABULARY_DOCS} select cast(topic as integer) as topic,"
-    f" (select count(*) from kept) as n_docs, true as same from range({TOPICS}) t(topic)",
+    f" true as same_weight, true as same_share from range({TOPICS}) t(topic)",
+    "lda_doc_topics": f"{VOCABULARY_DOCS} select id, {PROPORTIONS} from kept",
+    "model_roundtrip": f"{VOCABULARY_DOCS} select id, {PROPORTIONS} from kept",
+    "topic_matrix_words": MATRIX_USES,
+    "topic_matrix_topics": MATRIX_USES,
     "train_job_totals": f"{ENTRIES} select (select count(*) from dict) as n_words,"
     " cast(sum(cnt) as double) as n_tokens from entries",
-    "apply_job_lines": f"{ENTRIES} select id, cast({TOPICS} as bigint) as n_topics, cast(1 as double) as total"
-    " from entries group by id",
+    "apply_job_lines": f"{ENTRIES} select id, {PROPORTIONS} from entries group by id",
     "text_job_vectors": _text_job_vectors(),
-    "text_job_matrix": f"with {COUNTS}, {vocabulary_cte(SMALL_VOCABULARY)} select count(*) as n_values,"
-    f" cast({TOPICS} as bigint) as n_lines from vocab",
+    "text_job_matrix": MATRIX_USES,
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from catalog import inputs
@@ -23,10 +23,9 @@ from corpusloom.runtime import materialize, scratch_path
 Query = Callable[[SparkSession, str], DataFrame]
 
 KEEP_N = 1000
-VOCABULARY = 2000
-SMALL_VOCABULARY = 40
-TOPICS = 4
-ITERATIONS = 3
+VOCABULARY = 10_000
+TOPICS = 20
+ITERATIONS = 10
 SAMPLE = 0.25
 
 
@@ -90,10 +89,12 @@ def word_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sentence_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = inputs.documents(spark, sf_dir).select("id", sentence_words(F.col("text")).alias("sentences"))
+    filled = F.filter("sentences", lambda s: F.size(s) > 0)
     return pieces.select(
         "id",
-        F.size("sentences").cast("long").alias("n_sentences"),
-        joined(F.flatten("sentences")).alias("words"),
+        F.size(F.flatten("sentences")).cast("long").alias("n_words"),
+        joined(F.flatten(filled)).alias("words"),
+        (F.size(filled) <= F.size(F.flatten("sentences"))).alias("none_empty"),
     )
 
 
@@ -145,12 +146,15 @@ def lexicon_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("id", F.size("tokens").cast("long").alias("n_tokens"), joined("tokens").alias("tokens"))
 
 
-def lexicon_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plain = tokens.tokenize_mail(inputs.documents(spark, sf_dir), "text", stopwords=None)
-    counts = tokens.apply_lexicon(tokens.word_counts(plain), benchmark_lexicon(spark, sf_dir))
-    return explode_values(counts, "terms", "t", "id").select(
-        "id", "t.word", F.col("t.cnt").cast("long").alias("cnt")
-    )
+def lexicon_counts(**limits: int) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        plain = tokens.tokenize_mail(inputs.documents(spark, sf_dir), "text", stopwords=None)
+        counts = tokens.apply_lexicon(tokens.word_counts(plain), benchmark_lexicon(spark, sf_dir), **limits)
+        return explode_values(counts, "terms", "t", "id").select(
+            "id", "t.word", F.col("t.cnt").cast("long").alias("cnt")
+        )
+
+    return run
 
 
 # --- dictionary ------------------------------------------------------------------
@@ -205,13 +209,13 @@ def bow_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bow_keep_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = doc_counts(spark, sf_dir)
-    words = dictionary.vocabulary(counts, SMALL_VOCABULARY)
+    words = dictionary.vocabulary(counts, VOCABULARY)
     return arrays_as_text(bagofwords.bag_of_words(counts, words, keep_empty=True))
 
 
 def lookup_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = doc_counts(spark, sf_dir)
-    words = dictionary.vocabulary(counts, SMALL_VOCABULARY)
+    words = dictionary.vocabulary(counts, VOCABULARY)
     return arrays_as_text(vectors.from_vectors(vectors.lookup_vectors(counts, words)))
 
 
@@ -244,6 +248,45 @@ def corpus_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(corpus_file(spark, sf_dir)).withColumnRenamed("value", "line")
 
 
+def placed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``line_number, line`` of a text in part files, from 0 on."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file"))
+    order = lines.withColumn("at", F.monotonically_increasing_id())
+    within = Window.partitionBy("file").orderBy("at")
+    placed = order.select("file", "value", F.row_number().over(within).alias("n"))
+    before = placed.groupBy("file").agg(F.max("n").alias("size"))
+    order = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # a row per part file
+    starts = before.select("file", F.coalesce(F.sum("size").over(order), F.lit(0)).alias("start"))
+    return placed.join(starts, "file").select(
+        (F.col("start") + F.col("n") - 1).cast("long").alias("line_number"), F.col("value").alias("line")
+    )
+
+
+def corpus_lines_any_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with their numbers; ids are negative, and the header still comes first."""
+    corpus, words = doc_corpus(spark, sf_dir)
+    moved = materialize(corpus.withColumn("id", F.col("id") - 1_000_000), "corpus")
+    path = scratch_path(spark, "corpus-text")
+    sinks.write_corpus(moved, words.count(), path)
+    return placed_lines(spark, path)
+
+
+def corpus_foreign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file of another writer: free text in the first line, words of a row in falling order."""
+    path = scratch_path(spark, "corpus-foreign")
+    back = lambda c: joined(F.reverse(c), ",")
+    corpus, words = doc_corpus(spark, sf_dir)
+    rows = corpus.select(F.concat_ws(";", F.col("id").cast("string"), back("words"), back("counts")).alias("value"))
+    rows = materialize(rows, "foreign")
+    head = spark.createDataFrame([("made by hand; see 1;2;3",), (f"{words.count()} {rows.count()}",)], "value string")
+    head.coalesce(1).write.text(path)
+    rows.write.mode("append").text(path + "-rows")
+    # one file in front of the part files of the rows
+    first = spark.read.text(path).coalesce(1).unionByName(spark.read.text(path + "-rows")).coalesce(1)
+    first.write.text(path + "-all")
+    return arrays_as_text(sources.read_corpus(spark, path + "-all"))
+
+
 def corpus_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrays_as_text(sources.read_corpus(spark, corpus_file(spark, sf_dir)))
 
@@ -287,8 +330,18 @@ def hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def random_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sample holds rows of the table, each once, and about its share of them."""
     docs = inputs.table(spark, sf_dir, "documents")
-    return sources.sample_documents(docs, SAMPLE, seed=7).select("doc_id", "n_chars")
+    taken = sources.sample_documents(docs, SAMPLE, seed=7).select("doc_id", "n_chars")
+    known = docs.select("doc_id", F.col("n_chars").alias("own"))
+    n = docs.count()
+    spread = 6 * (n * SAMPLE * (1 - SAMPLE)) ** 0.5
+    return taken.join(known, "doc_id", "left").agg(
+        (F.count("own") == F.count(F.lit(1))).alias("in_table"),
+        F.coalesce(F.min(F.col("n_chars") == F.col("own")), F.lit(True)).alias("unchanged"),
+        (F.count_distinct("doc_id") == F.count(F.lit(1))).alias("distinct_rows"),
+        (F.abs(F.count(F.lit(1)) - n * SAMPLE) <= spread).alias("fair_size"),
+    )
 
 
 # --- cleaning -----------------------------------------------------------------------
@@ -336,7 +389,7 @@ def email_recipients(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id",
         joined("to", "|").alias("to_list"),
         joined("cc", "|").alias("cc_list"),
-        F.size("bcc").cast("long").alias("n_bcc"),
+        joined("bcc", "|").alias("bcc_list"),
     )
 
 
@@ -362,9 +415,8 @@ def metadata_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "metadata")
     sinks.write_metadata(message_metadata(spark, sf_dir), path)
     stored = spark.read.parquet(path)
-    return stored.select(
-        "id", "date", F.col("from").alias("sender"), joined("to", "|").alias("to_list")
-    )
+    lists = (joined(c, "|").alias(f"{c}_list") for c in ("to", "cc", "bcc", "references"))
+    return stored.select("id", "path", "message_id", "date", F.col("from").alias("sender"), "subject", *lists)
 
 
 def email_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -376,8 +428,9 @@ def email_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("id", joined("tokens").alias("tokens"))
 
 
-def mail_outputs(spark: SparkSession, sf_dir: str, **wanted: str):
-    return mail_job(inputs.mails(spark, sf_dir), below=2, **wanted)
+def mail_outputs(spark: SparkSession, sf_dir: str, numbered: bool = True, **wanted: str):
+    mails = inputs.mails(spark, sf_dir)
+    return mail_job(mails if numbered else mails.drop("id"), below=2, **wanted)
 
 
 def email_job(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -392,6 +445,14 @@ def email_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
+def email_job_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mails without ids: the corpus with the paths of the metadata in place of the numbers."""
+    corpus, metadata = scratch_path(spark, "mail-corpus"), scratch_path(spark, "mail-metadata")
+    mail_outputs(spark, sf_dir, numbered=False, metadata=metadata, corpus=corpus)
+    paths = spark.read.parquet(metadata).select("id", "path")
+    return arrays_as_text(sources.read_corpus(spark, corpus)).join(paths, "id").select("path", "words", "counts")
+
+
 def email_job_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "mail-dictionary")
     mail_outputs(spark, sf_dir, dictionary=path)
@@ -428,36 +489,68 @@ def lda_em_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lda_online_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, _, words = saved_model(spark, sf_dir, "online")
-    table = topics.topic_words(spark, path, words)
-    return table.groupBy("topic").agg(
+    """The rows read from the saved model are the cells of the matrix of the model itself."""
+    stored, words, n_words = doc_vectors(spark, sf_dir)
+    model = topics.train(stored, n_words, k=TOPICS, max_iterations=ITERATIONS, algorithm="online")
+    path = scratch_path(spark, "model")
+    topics.save_model(model, path)
+    cells = model.topicsMatrix().toArray()
+    own = spark.createDataFrame(
+        [(w, [float(x) for x in row]) for w, row in enumerate(cells)], "word_id int, weights array<double>"
+    ).select("word_id", F.posexplode("weights").alias("topic", "own"))
+    both = topics.topic_words(spark, path, words).join(own, ["word_id", "topic"])
+    totals = own.groupBy("topic").agg(F.sum("own").alias("total"))
+    return both.join(totals, "topic").groupBy("topic").agg(
         F.count(F.lit(1)).alias("n_words"),
-        F.round(F.sum("share"), 6).alias("total_share"),
-        F.min(F.col("weight") > 0).alias("positive"),
+        F.min(F.abs(F.col("weight") - F.col("own")) <= 1e-9 * F.col("own")).alias("same_weight"),
+        F.min(F.abs(F.col("share") - F.col("own") / F.col("total")) <= 1e-9).alias("same_share"),
     )
 
 
-def lda_doc_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, stored, _ = saved_model(spark, sf_dir, "em")
-    found = topics.document_topics(topics.load_model(spark, path), stored)
-    return topics.exploded_topics(found).groupBy("id").agg(
-        F.count(F.lit(1)).alias("n_topics"), F.round(F.sum("proportion"), 6).alias("total")
+def same_proportions(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Per document: how many proportions there are, whether two results agree in all, their sum."""
+    both = topics.exploded_topics(left).join(
+        topics.exploded_topics(right).withColumnRenamed("proportion", "other"), ["id", "topic"], "full"
+    )
+    close = F.coalesce(F.abs(F.col("proportion") - F.col("other")) < 1e-6, F.lit(False))
+    return both.groupBy("id").agg(
+        F.count(F.lit(1)).alias("n_topics"), F.min(close).alias("same"), F.round(F.sum("proportion"), 6).alias("total")
     )
 
 
+def lda_doc_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A saved and loaded EM model gives the proportions of the model in memory."""
+    stored, _, n_words = doc_vectors(spark, sf_dir)
+    model = topics.train(stored, n_words, k=TOPICS, max_iterations=ITERATIONS, algorithm="em")
+    path = scratch_path(spark, "model")
+    topics.save_model(model, path)
+    loaded = topics.document_topics(topics.load_model(spark, path), stored)
+    return same_proportions(topics.document_topics(model, stored), loaded)
+
+
 def topic_matrix(orient: str) -> Query:
-    """Shape of the written matrix: lines, and values per line."""
+    """Uses of every word, added up over the topics of the written matrix."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        path, _, _ = saved_model(spark, sf_dir, "online")
+        path, _, _ = saved_model(spark, sf_dir, "em")
         out = scratch_path(spark, "matrix")
         sinks.write_topic_matrix(topics.topic_words(spark, path), out, orient)
-        values = F.size(F.split("value", ",")).cast("long").alias("n_values")
-        return spark.read.text(out).groupBy(values).agg(F.count(F.lit(1)).alias("n_lines"))
+        return matrix_uses(spark, out, orient)
 
     return run
 
 
+def matrix_uses(spark: SparkSession, path: str, orient: str) -> DataFrame:
+    """``word_id, n_topics, uses`` of a matrix file."""
+    row, column = ("word_id", "topic") if orient == "words" else ("topic", "word_id")
+    cells = placed_lines(spark, path).select(
+        F.col("line_number").alias(row), F.posexplode(F.split("line", ",").cast("array<double>")).alias(column, "weight")
+    )
+    return cells.groupBy(F.col("word_id").cast("int").alias("word_id")).agg(
+        F.count_distinct("topic").alias("n_topics"), F.round(F.sum("weight"), 3).alias("uses")
+    )
+
+
 def train_job_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Corpus file to matrix file; the word rows of an EM matrix add up to all tokens."""
     out = scratch_path(spark, "trained")
@@ -470,18 +563,17 @@ def train_job_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def apply_job_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Corpus file and saved model to the lines of topic proportions."""
+    """The written lines of topic proportions are those of the model, in every document."""
     corpus = corpus_file(spark, sf_dir)
     out, proportions = scratch_path(spark, "trained"), scratch_path(spark, "proportions")
-    train_job(spark, corpus, out, k=TOPICS, max_iterations=ITERATIONS, algorithm="online")
+    model = train_job(spark, corpus, out, k=TOPICS, max_iterations=ITERATIONS, algorithm="online")
     apply_job(spark, f"{out}.model", corpus, proportions)
-    line = spark.read.text(proportions)
     values = F.split(F.regexp_extract("value", r"\[(.*)\]", 1), ",").cast("array<double>")
-    return line.select(
-        F.regexp_extract("value", r"^\((\d+),", 1).cast("long").alias("id"),
-        F.size(values).cast("long").alias("n_topics"),
-        F.round(F.aggregate(values, F.lit(0.0), lambda a, b: a + b), 6).alias("total"),
+    written = spark.read.text(proportions).select(
+        F.regexp_extract("value", r"^\((\d+),", 1).cast("long").alias("id"), values.alias("topic_distribution")
     )
+    stored = vectors.to_vectors(sources.read_corpus(spark, corpus), model.vocabSize())
+    return same_proportions(written, topics.document_topics(model, stored))
 
 
 def text_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -491,36 +583,30 @@ def text_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_job_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The text job up to training: vectors and paths of all documents."""
-    texts = text_documents(spark, sf_dir)
-    ready = preprocess(texts, fraction=1.0, vocab_size=SMALL_VOCABULARY, stopwords=ENGLISH_STOP_WORDS)
+    """The text job up to training, with stop words from a file: vectors and paths of all documents."""
+    path = scratch_path(spark, "stopwords")
+    spark.range(1).select(F.lit(" ".join(ENGLISH_STOP_WORDS)).alias("value")).write.text(path)
+    ready = preprocess(
+        text_documents(spark, sf_dir), fraction=1.0, vocab_size=VOCABULARY, stopwords=sources.read_stopwords(spark, path)
+    )
     return arrays_as_text(vectors.from_vectors(ready.vectors)).join(ready.lookup, "id")
 
 
 def text_job_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole text job; shape of its topics x words matrix."""
+    """The whole text job; uses of every word, from its topics x words matrix."""
     out = scratch_path(spark, "text-job")
-    text_job(
-        text_documents(spark, sf_dir), out, fraction=1.0, vocab_size=SMALL_VOCABULARY,
-        k=TOPICS, max_iterations=ITERATIONS,
-    )
-    values = F.size(F.split("value", ",")).cast("long").alias("n_values")
-    return spark.read.text(out).groupBy(values).agg(F.count(F.lit(1)).alias("n_lines"))
+    text_job(text_documents(spark, sf_dir), out, fraction=1.0, k=TOPICS, max_iterations=ITERATIONS)
+    return matrix_uses(spark, out, "topics")
 
 
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A loaded model gives the proportions of the model that was saved."""
+    """A loaded online model gives the proportions of the model that was saved."""
     stored, _, n_words = doc_vectors(spark, sf_dir)
     model = topics.train(stored, n_words, k=TOPICS, max_iterations=ITERATIONS, algorithm="online")
     path = scratch_path(spark, "model")
     topics.save_model(model, path)
-    before = topics.exploded_topics(topics.document_topics(model, stored))
-    after = topics.exploded_topics(topics.document_topics(topics.load_model(spark, path), stored))
-    both = before.join(after.withColumnRenamed("proportion", "again"), ["id", "topic"])
-    return both.groupBy("topic").agg(
-        F.count(F.lit(1)).alias("n_docs"),
-        F.max(F.abs(F.col("proportion") - F.col("again")) < 1e-6).alias("same"),
-    )
+    loaded = topics.document_topics(topics.load_model(spark, path), stored)
+    return same_proportions(topics.document_topics(model, stored), loaded)
 
 
 QUERIES: dict[str, Query] = {
@@ -534,7 +620,8 @@ QUERIES: dict[str, Query] = {
     "stopword_filter": stopword_filter,
     "stopword_tokens": stopword_tokens,
     "lexicon_tokens": lexicon_tokens,
-    "lexicon_counts": lexicon_counts,
+    "lexicon_counts": lexicon_counts(),
+    "lexicon_counts_shuffled": lexicon_counts(lookup_limit=0, broadcast_limit=0, hot_rows=100),
     # dictionary
     "doc_frequency": lambda s, d: dictionary.document_frequency(lazy_counts(s, d)),
     "term_count": lambda s, d: dictionary.term_frequency(lazy_counts(s, d)),
@@ -556,6 +643,8 @@ QUERIES: dict[str, Query] = {
     "corpus_stats": corpus_stats,
     # files
     "corpus_lines": corpus_lines,
+    "corpus_lines_any_id": corpus_lines_any_id,
+    "corpus_foreign": corpus_foreign,
     "corpus_roundtrip": corpus_roundtrip,
     "matrix_market_roundtrip": matrix_market_roundtrip,
     "dictionary_tsv": dictionary_tsv,
@@ -576,6 +665,7 @@ QUERIES: dict[str, Query] = {
     "email_contents": email_contents,
     "email_tokens": email_tokens,
     "email_job": email_job,
+    "email_job_numbered": email_job_numbered,
     "email_job_dictionary": email_job_dictionary,
     # topics
     "lda_em_topics": lda_em_topics,

@@ -15,13 +15,24 @@ from corpusloom.functions.arrays import let
 _LINE_END = r"(?>\r\n|\n|\r)"
 
 # --- fixed values: the accepted date form and the names in it ----------------
+#: Zone names: usual abbreviations, offsets written as GMT+1, and ids by region.
+ZONE_NAMES = (
+    "UTC GMT UT Z EST EDT CST CDT MST MDT PST PDT AKST AKDT HST AST ADT NST NDT BRT ART CLT COT PET"
+    " WET WEST CET CEST EET EEST MSK BST IST SAST EAT CAT WAT PKT NPT ICT WIB HKT SGT PHT JST KST"
+    " AWST ACST ACDT AEST AEDT NZST NZDT"
+).split()
+ZONE_REGIONS = "Africa America Antarctica Arctic Asia Atlantic Australia Europe Indian Pacific Etc US Canada".split()
+_ZONE = (
+    rf"(?:{'|'.join(ZONE_NAMES)}|(?:UTC|GMT|UT)[+-]\d{{1,2}}(?::\d\d)?"
+    rf"|(?:{'|'.join(ZONE_REGIONS)})(?:/[A-Za-z_+0-9-]+)+)"
+)
 # weekday, day month year hour:minute:second offset (zone)
 DATE_PATTERN = (
     r"^(Mon|Tue|Wed|Thu|Fri|Sat|Sun), 0*(\d{1,2}) "
     r"(Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec) (\d{4}) "
     r"((?:[01]\d|2[0-3]):[0-5]\d:[0-5]\d) "
     r"(Z|[+-](?:(?:0\d|1[0-7])(?:[0-5]\d)?|18(?:00)?)) "
-    r"\((?:[A-Z]{1,5}(?:[+-]\d{1,2}(?::\d\d)?)?|[A-Z][A-Za-z]+(?:/[A-Za-z_]+)+)\)$"
+    rf"\({_ZONE}\)$"
 )
 MONTHS = "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec".split()
 WEEKDAYS = "Sun Mon Tue Wed Thu Fri Sat".split()
@@ -70,6 +81,53 @@ def unfold(value: Column) -> Column:
     return F.regexp_replace(value, F.lit(rf"{_LINE_END}[ \t]+"), F.lit(" "))
 
 
+def _decoded(raw: Column, charset: Column) -> Column:
+    """Bytes as text; null for a charset that is not one of the common ones."""
+    name = F.lower(charset)
+    return (
+        F.when(name.isin("utf-8", "utf8", "us-ascii", "ascii"), F.make_valid_utf8(raw.cast("string")))
+        .when(name.isin("iso-8859-1", "latin1", "windows-1252"), F.decode(raw, "ISO-8859-1"))
+        .otherwise(F.lit(None))
+    )
+
+
+def base64_text(encoded: Column, charset: Column) -> Column:
+    """Text of a base64 value; null if it is none."""
+    return _decoded(F.try_to_binary(F.regexp_replace(encoded, F.lit(r"\s+"), F.lit("")), F.lit("base64")), charset)
+
+
+def _quoted_text(encoded: Column, charset: Column) -> Column:
+    """Text of the quoted form of encoded words: ``_`` for a blank, ``=C3`` for a byte."""
+    pieces = F.regexp_extract_all(
+        F.replace(encoded, F.lit("_"), F.lit(" ")), F.lit("((?s)=[0-9A-Fa-f]{2}|.)"), F.lit(1)
+    )
+    raw = F.transform(
+        pieces, lambda p: F.when(F.length(p) == 3, F.substring(p, 2, 2)).otherwise(F.hex(p.cast("binary")))
+    )
+    return _decoded(F.unhex(F.array_join(raw, "")), charset)
+
+
+def decode_words(value: Column) -> Column:
+    """Replace encoded words ``=?charset?B or Q?...?=`` by their text; others stay.
+
+    Blanks between two encoded words do not count.
+    """
+    word = r"=\?[^?\s]+\?[BbQq]\?[^?\s]*\?="
+    closed = F.regexp_replace(value, F.lit(rf"({word})\s+(?={word})"), F.lit("$1"))
+
+    def text(piece: Column) -> Column:
+        def part(group: int) -> Column:
+            return F.regexp_extract(piece, r"^=\?([^?]+)\?([BbQq])\?([^?]*)\?=$", group)
+
+        found = F.when(F.lower(part(2)) == "b", base64_text(part(3), part(1))).otherwise(
+            _quoted_text(part(3), part(1))
+        )
+        return F.when(piece.rlike(rf"^{word}$"), F.coalesce(found, piece)).otherwise(piece)
+
+    pieces = F.split(F.regexp_replace(closed, F.lit(f"({word})"), F.lit("\x01$1\x01")), "\x01")
+    return F.when(value.contains("=?"), F.array_join(F.transform(pieces, text), "")).otherwise(value)
+
+
 def address_list(values: Column) -> Column:
     """Header values to an array of address strings.
 
@@ -165,6 +223,6 @@ def metadata_columns(fields: Column) -> dict[str, Column]:
         "to": address_list(header_values(fields, "to")),
         "cc": address_list(header_values(fields, "cc")),
         "bcc": address_list(header_values(fields, "bcc")),
-        "subject": F.coalesce(unfold(header_value(fields, "subject")), F.lit("")),
+        "subject": F.coalesce(decode_words(unfold(header_value(fields, "subject"))), F.lit("")),
         "references": header_values(fields, "references"),
     }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.arrays import let, without_trailing_empty
 from corpusloom.functions.headers import (
+    base64_text,
     header_fields,
     header_value,
     split_message,
@@ -68,16 +69,28 @@ def _leaf(part: Column) -> Column:
             header_fields(F.get(pieces, F.lit(0))),
             lambda fields: F.struct(
                 media_type(fields).alias("kind"),
-                F.lower(F.coalesce(header_value(fields, "content-disposition"), F.lit("")))
-                .startswith("attachment")
-                .alias("attached"),
-                F.coalesce(F.get(pieces, F.lit(1)), F.lit("")).alias("content"),
+                _attached(fields).alias("attached"),
+                _transferred(fields, F.coalesce(F.get(pieces, F.lit(1)), F.lit(""))).alias("content"),
             ),
         )
 
     return let(split_message(part), described)
 
 
+def _attached(fields: Column) -> Column:
+    disposition = F.lower(F.coalesce(header_value(fields, "content-disposition"), F.lit("")))
+    return F.ltrim(disposition).startswith("attachment")
+
+
+def _transferred(fields: Column, content: Column) -> Column:
+    """Content as it was before a base64 transfer; what cannot be decoded stays."""
+    encoding = F.lower(F.trim(F.coalesce(header_value(fields, "content-transfer-encoding"), F.lit(""))))
+    declared = F.coalesce(unfold(header_value(fields, "content-type")), F.lit(""))
+    charset = F.nullif(F.regexp_extract(declared, r"(?i);\s*charset\s*=\s*\"?([^\s;\"]+)", 1), F.lit(""))
+    text = base64_text(content, F.coalesce(charset, F.lit("us-ascii")))
+    return F.when(encoding == "base64", F.coalesce(text, content)).otherwise(content)
+
+
 def media_type(fields: Column) -> Column:
     """Lower-case media type of a message or part; plain text when none is given."""
     declared = F.lower(F.trim(F.substring_index(header_value(fields, "content-type"), ";", 1)))
@@ -116,7 +129,8 @@ def body_text(fields: Column, body: Column) -> Column:
     body = F.coalesce(body, F.lit(""))
     kind = media_type(fields)
     return (
-        F.when(kind.isin("text/plain", "text/html"), body)
+        F.when(_attached(fields), F.lit(""))
+        .when(kind.isin("text/plain", "text/html"), _transferred(fields, body))
         .when(
             kind.startswith("multipart/"),
             F.coalesce(

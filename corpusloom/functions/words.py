@@ -27,7 +27,8 @@ MIN_WORD_LENGTH = 3
 # --- end of fixed values ----------------------------------------------------
 
 # A letter outside the basic plane takes two UTF-16 units, so two letters reach
-# the minimum length when one of them is such a letter.
+# the minimum length when one of them is such a letter.  Spark's word breaks drop
+# a word that begins with such a letter, so this holds for later letters only.
 _TERM_SHAPE = r"^(?:\p{L}{3,}|(?=.*[\x{10000}-\x{10FFFF}])\p{L}{2})$"
 _NUMBER_SHAPE = r"^[\p{N}.,:%&]+$"
 

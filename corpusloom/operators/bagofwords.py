@@ -23,8 +23,8 @@ def bow_entries(
 
     A dictionary of checked size is broadcast and the documents stay where they
     are.  A larger one is joined by a shuffle; only the words of very many
-    documents, of which there can be but few, are still looked up in place so
-    that no task receives all rows of such a word.
+    documents are still looked up in place, so that no task receives all rows
+    of such a word.
     """
     entries = explode_values(counts, "terms", "t", "id").select("id", "t.word", "t.cnt")
     return join_words(entries, dictionary, broadcast_limit).select("id", "word_id", "cnt")
@@ -40,18 +40,29 @@ def join_words(
     lookup = dictionary.select("word", F.col("id").alias("word_id"))
     if fits_broadcast(lookup, broadcast_limit):
         return entries.join(F.broadcast(lookup), "word")
-    # The dictionary tells in how many rows a word comes.  At most MAX_HOT_WORDS
-    # words can reach the bound below, as their rows add up to no more than all.
+    # The dictionary tells in how many rows a word comes.
     frequency = F.col("occurrences" if "occurrences" in dictionary.columns else "cnt")
-    total = dictionary.agg(F.sum(frequency)).first()[0] or 0
-    bound = max(hot_rows, total // MAX_HOT_WORDS)
-    hot = dictionary.where(frequency >= bound).select("word", F.col("id").alias("word_id"))
-    cold = dictionary.where(frequency < bound).select("word", F.col("id").alias("word_id"))
-    in_place = entries.join(F.broadcast(hot), "word")
-    shuffled = entries.join(F.broadcast(hot.select("word")), "word", "left_anti").join(
-        cold.hint("merge"), "word"
-    )
-    return in_place.unionByName(shuffled)
+    hot = dictionary.where(frequency >= hot_rows).select("word", F.col("id").alias("word_id"), frequency.alias("n"))
+    return join_split(entries, lookup, "word", hot).where(F.col("word_id").isNotNull())
+
+
+def join_split(rows: DataFrame, table: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """Left join of ``rows`` with the large ``table`` on ``key`` by one shuffle, in one pass.
+
+    ``hot`` holds the keys of very many rows, with their number ``n`` and the columns of
+    ``table``.  The MAX_HOT_WORDS of most rows are looked up in place; their rows, and
+    those without a key, go through the shuffle under keys of their own that match nothing.
+    """
+    values = [c for c in table.columns if c != key]
+    listed = hot.orderBy(F.desc("n"), key).limit(MAX_HOT_WORDS)
+    near = listed.select(F.col(key).alias("__hot"), F.struct(*values).alias("__near"))
+    placed = rows.join(F.broadcast(near), F.col(key) == F.col("__hot"), "left")
+    spread = F.concat(F.lit("\0"), F.pmod(F.monotonically_increasing_id(), F.lit(1 << 20)).cast("string"))
+    own = F.when(F.col("__hot").isNotNull() | F.col(key).isNull(), spread).otherwise(F.col(key))
+    far = table.select(F.col(key).alias("__key"), F.struct(*values).alias("__far"))
+    joined = placed.withColumn("__key", own).join(far.hint("merge"), "__key", "left")
+    found = F.coalesce("__near", "__far")
+    return joined.select(*rows.columns, *(found[c].alias(c) for c in values))
 
 
 def collect_corpus(cells: DataFrame) -> DataFrame:
@@ -73,6 +84,7 @@ def bag_of_words(
     dictionary: DataFrame,
     keep_empty: bool = False,
     lookup_limit: int = LOOKUP_BYTES,
+    broadcast_limit: int | None = None,
 ) -> DataFrame:
     """``id, words, counts`` per document; the arrays are parallel, words ascending.
 
@@ -84,7 +96,7 @@ def bag_of_words(
     if fits_broadcast(dictionary.select("word", "id"), lookup_limit):
         corpus = number_words(counts, dictionary)
         return corpus if keep_empty else corpus.where(F.size("words") > 0)
-    corpus = collect_corpus(bow_entries(counts, dictionary, lookup_limit))
+    corpus = collect_corpus(bow_entries(counts, dictionary, broadcast_limit))
     if not keep_empty:
         return corpus
     empty = F.array().cast("array<int>")

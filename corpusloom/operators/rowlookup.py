@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Largest table, in bytes, that every Python worker holds for row-wise lookups.
-#: A dictionary of a million words of usual length counts as about half of it.
-LOOKUP_BYTES = 128 * 1024 * 1024
+#: Arrow makes its hash table anew for every batch, so larger tables are left to the join.
+LOOKUP_BYTES = 32 * 1024 * 1024
 
 
 def _rows(lists: pa.ListArray) -> np.ndarray:

@@ -15,7 +15,7 @@ from corpusloom.functions.words import (
     mail_words,
     terms,
 )
-from corpusloom.operators.bagofwords import HOT_WORD_ROWS, MAX_HOT_WORDS
+from corpusloom.operators.bagofwords import HOT_WORD_ROWS, join_split
 from corpusloom.operators.rowlookup import (
     LOOKUP_BYTES,
     counted_words,
@@ -42,6 +42,8 @@ def tokenize_mail(
     stopwords: Iterable[str] | None = ENGLISH_STOP_WORDS,
     id_column: str = "id",
     lookup_limit: int = LOOKUP_BYTES,
+    broadcast_limit: int | None = None,
+    hot_rows: int = HOT_WORD_ROWS,
 ) -> DataFrame:
     """Mail tokenizer: ``id, tokens`` in text order, lemmatized and tag-filtered.
 
@@ -65,7 +67,7 @@ def tokenize_mail(
     # document without a surviving word keeps its row.
     kept = F.when(_kept(stop), F.struct("pos", "lemma"))
     return (
-        _join_lexicon(placed, entries)
+        _join_lexicon(placed, entries, broadcast_limit, hot_rows)
         .groupBy("id")
         .agg(F.sort_array(F.collect_list(kept)).alias("placed"))
         .select("id", F.col("placed.lemma").alias("tokens"))
@@ -86,6 +88,8 @@ def apply_lexicon(
     lexicon: DataFrame,
     stopwords: Iterable[str] | None = ENGLISH_STOP_WORDS,
     lookup_limit: int = LOOKUP_BYTES,
+    broadcast_limit: int | None = None,
+    hot_rows: int = HOT_WORD_ROWS,
 ) -> DataFrame:
     """Lemmatize and tag-filter ``id, terms`` rows; equal lemmas are added up.
 
@@ -100,7 +104,7 @@ def apply_lexicon(
     else:
         words = counts.select("id", F.explode_outer("terms").alias("t"))
         joined = _join_lexicon(
-            words.select("id", F.col("t.word").alias("surface"), "t.cnt"), entries
+            words.select("id", F.col("t.word").alias("surface"), "t.cnt"), entries, broadcast_limit, hot_rows
         )
         pair = F.struct(F.col("lemma").alias("words"), F.col("cnt").alias("counts"))
         lemmas = joined.groupBy("id").agg(F.collect_list(F.when(_kept(stop), pair)).alias("pairs"))
@@ -120,30 +124,17 @@ def _kept(stop: list[str]) -> Column:
     return F.col("lemma").isNotNull() & F.coalesce("kept", F.lit(True)) & ~F.col("lemma").isin(stop)
 
 
-def _join_lexicon(words: DataFrame, entries: DataFrame) -> DataFrame:
+def _join_lexicon(words: DataFrame, entries: DataFrame, limit: int | None, hot_rows: int) -> DataFrame:
     """Add ``lemma`` and ``kept`` to rows with a ``surface`` word, which may be null.
 
-    A lexicon too large to broadcast is joined by a shuffle, except for the few
-    words with very many rows, whose entries are broadcast.
+    A lexicon too large to broadcast is joined by a shuffle, except for the words
+    with very many rows.  The rows are stored first, as they are counted as well.
     """
-    if fits_broadcast(entries):
+    if fits_broadcast(entries, limit):
         joined = words.join(F.broadcast(entries), "surface", "left")
     else:
-        uses = words.groupBy("surface").agg(F.count("surface").alias("n"))
-        uses = materialize(uses, "uses")
-        total = uses.agg(F.sum("n")).first()[0] or 0
-        bound = max(HOT_WORD_ROWS, total // MAX_HOT_WORDS)  # at most so many words reach it
-        hot = uses.where(F.col("n") >= bound).select("surface")
-        hot_entries = materialize(entries.join(F.broadcast(hot), "surface"), "hot-entries")
-        plain = words.join(F.broadcast(hot), "surface", "left_anti")
-        parts = [
-            words.join(F.broadcast(hot), "surface", "left_semi").join(
-                F.broadcast(hot_entries), "surface", "left"
-            ),
-            plain.where(F.col("surface").isNotNull()).join(entries, "surface", "left"),
-            plain.where(F.col("surface").isNull())
-            .withColumn("lemma", F.lit(None).cast("string"))
-            .withColumn("kept", F.lit(None).cast("boolean")),
-        ]
-        joined = parts[0].unionByName(parts[1]).unionByName(parts[2])
+        words = materialize(words, "surfaces")
+        uses = words.where(F.col("surface").isNotNull()).groupBy("surface").agg(F.count(F.lit(1)).alias("n"))
+        hot = uses.where(F.col("n") >= hot_rows).join(entries, "surface")
+        joined = join_split(words, entries, "surface", hot)
     return joined.withColumn("lemma", F.coalesce("lemma", "surface"))

@@ -5,33 +5,40 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.functions.arrays import value_counts
 from corpusloom.functions.cleaning import clean_text
 from corpusloom.functions.headers import header_fields, metadata_columns, split_message
 from corpusloom.functions.mime import body_text, repair_multipart
-from corpusloom.functions.words import ENGLISH_STOP_WORDS
+from corpusloom.functions.words import ENGLISH_STOP_WORDS, PUNCTUATION_WORDS, mail_words
 from corpusloom.operators.bagofwords import bag_of_words
 from corpusloom.operators.dictionary import build_dictionary
 from corpusloom.operators.numbering import dense_index
-from corpusloom.operators.tokens import apply_lexicon, tokenize_mail, word_counts
+from corpusloom.operators.tokens import apply_lexicon, tokenize_mail
 from corpusloom.runtime import materialize
 from corpusloom.sinks import write_corpus, write_dictionary, write_metadata
 
 
-def extract_messages(documents: DataFrame) -> DataFrame:
-    """``id, path, fields, body`` of raw ``id, path, document`` rows."""
-    return documents.select(
-        "id", "path", split_message(F.col("document")).alias("message")
-    ).select(
-        "id",
-        "path",
+def _messages(mails: DataFrame, *keep: str) -> DataFrame:
+    return mails.select(*keep, split_message(F.col("document")).alias("message")).select(
+        *keep,
         header_fields(F.col("message")[0]).alias("fields"),
         F.get("message", F.lit(1)).alias("body"),
     )
 
 
+def extract_messages(documents: DataFrame) -> DataFrame:
+    """``id, path, fields, body`` of raw ``id, path, document`` rows."""
+    return _messages(documents, "id", "path")
+
+
+def _contents(strict: bool) -> Column:
+    """Repaired and cleaned text of a message with ``fields`` and ``body``."""
+    return clean_text(repair_multipart(body_text(F.col("fields"), F.col("body"))), strict)
+
+
 def mail_metadata(documents: DataFrame) -> DataFrame:
     """Metadata table: ids, path, date, subject and the addresses of each message."""
     columns = metadata_columns(F.col("fields"))
@@ -84,23 +91,31 @@ def mail_job(
     """Run the job on ``path, document`` rows and write the outputs that have a path.
 
     ``mails`` may bring its own unique ``id``; otherwise the documents are
-    numbered.  Only what a requested output needs is computed.
+    numbered.  Only what a requested output needs is computed, and every message is
+    parsed once: what is stored, and numbered, is its metadata and its counted words.
     """
-    documents = mails if "id" in mails.columns else dense_index(mails)
     result = MailResult()
+    counted = dictionary is not None or corpus is not None
+    if metadata is None and not counted:
+        return result
+    own = [c for c in ("id", "path") if c in mails.columns]
+    columns = metadata_columns(F.col("fields")) if metadata is not None else {}
+    dropped = PUNCTUATION_WORDS if lexicon is not None else [*PUNCTUATION_WORDS, *(stopwords or ())]
+    terms = value_counts(F.filter(mail_words(_contents(strict)), lambda w: ~w.isin(sorted(set(dropped)))))
+    parsed = _messages(mails, *own).select(
+        *own,
+        *(column.alias(name) for name, column in columns.items()),
+        *([terms.alias("terms")] if counted else []),
+    )
+    parsed = materialize(parsed, "mails") if "id" in own else dense_index(parsed)
     if metadata is not None:
-        write_metadata(mail_metadata(documents), metadata, mode=mode)
-        result.metadata = documents.sparkSession.read.parquet(metadata)
-    if dictionary is None and corpus is None:
+        write_metadata(parsed.select("id", "path", *columns), metadata, mode=mode)
+        result.metadata = parsed.sparkSession.read.parquet(metadata)
+    if not counted:
         return result
-    # Counted words are the smallest form both outputs can start from; they are
-    # stored, so the text is cleaned and broken into words only once.
-    if lexicon is None:
-        counts = word_counts(mail_tokens(documents, None, stopwords, strict))
-    else:
-        counts = word_counts(mail_tokens(documents, None, None, strict))
-        counts = apply_lexicon(counts, lexicon, stopwords)
-    counts = materialize(counts, "counts")
+    counts = parsed.select("id", "terms")
+    if lexicon is not None:
+        counts = materialize(apply_lexicon(counts, lexicon, stopwords), "counts")
     words = build_dictionary(counts, above, below, keep_n, above_base)
     result.dictionary = words
     if dictionary is not None:
