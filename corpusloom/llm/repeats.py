@@ -16,8 +16,8 @@ construction is cut off at that depth, and names are hashes instead of ranks.
 
 Names of a chunk of texts are sorted, made distinct, and packed before they are shuffled, a
 few bytes each, so a string of a third of all rows costs one name per chunk.  Buckets of names
-have a bounded size, chunks too; texts are moved once, compressed.  Names of tuples have 48
-bits, and a chain needs several equal ones in step; names of whole strings have 64.
+have a bounded size, chunks too; texts are moved once, compressed.  Names of tuples have 46
+bits, and a chain needs several equal ones in step; names of whole strings have 62.
 
 Null texts count as empty.  Texts are judged row by row, so repeated rows repeat each other.
 Matches never cross texts.  An empty table gives an empty result.
@@ -37,8 +37,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm.bagminhash import mix
-from corpusloom.llm.common import materialize
 from corpusloom.llm.worker import kept
+from corpusloom.runtime import drop_path, materialize, store
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -49,9 +49,9 @@ MODULUS = 73
 COVER = (1, 2, 4, 8, 16, 32, 37, 55, 64)
 TUPLE = LENGTH - MODULUS + 1
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 BUCKET_BYTES = 8 << 20
-PREFIX_BITS = 16  # of a name that its place in a packed list tells
+PREFIX_BITS = 14  # of a name that its place in a packed list tells
 NAME_BYTES, STRING_BYTES = 4, 6  # further bytes of a name
 
 _U = np.uint64
@@ -473,17 +473,19 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     spark = docs.sparkSession
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     chunks = rows.mapInArrow(_chunks, "n_bytes long, payload binary")
-    chunks = materialize(chunks.withColumn("chunk", F.monotonically_increasing_id()), "chunks")
+    chunks, chunks_path = store(chunks.withColumn("chunk", F.monotonically_increasing_id()), "chunks")
     buckets = _bucket_count(spark, chunks.agg(F.sum("n_bytes")).first()[0] or 1)
 
     lists = chunks.select("chunk", "payload").mapInArrow(_name_lists(buckets), _ROW)
-    owners = lists.groupBy("bucket").applyInArrow(_owners(buckets), _ROW)
+    owners, owners_path = store(lists.groupBy("bucket").applyInArrow(_owners(buckets), _ROW), "first-places")
     by_chunk = chunks.select("chunk", "payload").groupBy("chunk")
     resolved = by_chunk.cogroup(owners.groupBy("chunk")).applyInArrow(_resolve(buckets), _ROW)
     steps = materialize(resolved, "resolved")
+    for path in (chunks_path, owners_path):  # all that is left to do is in the steps
+        drop_path(spark, path)
 
     matches = steps.where(F.col("kind") == _STRING).groupBy("bucket").applyInArrow(_matches(buckets), _ROW)
-    told = steps.where(F.col("kind") == _CLAIM).union(matches)
+    told = steps.where(F.col("kind") == _CLAIM).union(materialize(matches, "matches"))
     # under new names, as both sides of the grouping come from one table
     texts = steps.where(F.col("kind") == _TEXTS).select(F.col("chunk").alias("own"), F.col("payload").alias("payload"))
     finished = texts.groupBy("own").cogroup(told.groupBy("chunk")).applyInArrow(_finish(buckets), _ROW)
