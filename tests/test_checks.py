@@ -1,0 +1,124 @@
+"""The checks of the catalogue notice wrong results, and jobs do no more than was asked."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from catalog import inputs, spark_queries
+from catalog.oracle_queries import ORACLE
+from corpusloom import plans, runtime, sinks, sources
+from corpusloom.operators import topics
+from corpusloom.operators.bagofwords import join_split
+from corpusloom.operators.vectors import to_vectors
+from corpusloom.runtime import scratch_path
+from tests.check_catalog import connect, difference
+
+
+def test_a_wrong_proportion_is_noticed(spark):
+    rows = [(1, [0.25, 0.75]), (2, [0.5, 0.5])]
+    left = spark.createDataFrame(rows, "id long, topic_distribution array<double>")
+    for wrong in ([(1, [0.25, 0.75]), (2, [0.4, 0.6])], rows[:1], [(1, [0.25, 0.75]), (2, [1.0])]):
+        right = spark.createDataFrame(wrong, "id long, topic_distribution array<double>")
+        assert [r.same for r in spark_queries.same_proportions(left, right).orderBy("id").collect()] == [True, False]
+    assert all(r.same for r in spark_queries.same_proportions(left, left).collect())
+
+
+@pytest.mark.parametrize("orient", ["words", "topics"])
+def test_a_wrong_matrix_cell_is_noticed(spark, orient):
+    table = spark.range(6).select(
+        (F.col("id") % 2).cast("int").alias("topic"), F.expr("cast(id div 2 as int)").alias("word_id"), F.lit(1.5).alias("weight")
+    )
+    good, bad = scratch_path(spark, "good"), scratch_path(spark, "bad")
+    sinks.write_topic_matrix(table, good, orient)
+    sinks.write_topic_matrix(table.withColumn("weight", F.expr("if(word_id = 1 and topic = 1, 2.5, weight)")), bad, orient)
+    uses = [[(r.word_id, r.uses) for r in spark_queries.matrix_uses(spark, p, orient).orderBy("word_id").collect()] for p in (good, bad)]
+    assert uses == [[(0, 3.0), (1, 3.0), (2, 3.0)], [(0, 3.0), (1, 4.0), (2, 3.0)]]
+
+
+def test_a_moved_header_is_noticed(spark, sf_dir):
+    got = spark_queries.corpus_lines_any_id(spark, sf_dir).toPandas()
+    want = connect(sf_dir).execute(ORACLE["corpus_lines_any_id"]).df()
+    assert difference(got, want) is None
+    got.loc[got["line_number"] < 2, "line_number"] = 1 - got.loc[got["line_number"] < 2, "line_number"]
+    assert difference(got, want) is not None
+
+
+def test_mails_are_read_once_and_only_what_is_asked_is_done(spark, sf_dir, monkeypatch):
+    raw = scratch_path(spark, "raw-mails")
+    inputs.mails(spark, sf_dir).limit(200).write.parquet(raw)
+    mails = spark.read.parquet(raw)
+    stored = []
+    store = runtime.store
+
+    def recorded(df, label):
+        stored.append((label, any(raw in f for f in df.inputFiles()), df.columns))
+        return store(df, label)
+
+    monkeypatch.setattr(runtime, "store", recorded)
+    for own in (mails, mails.drop("id")):
+        stored.clear()
+        found = plans.mail_job(
+            own, metadata=scratch_path(spark, "m"), dictionary=scratch_path(spark, "d"), corpus=scratch_path(spark, "c"), below=2
+        )
+        assert [label for label, reads, _ in stored if reads] in (["mails"], ["numbered"])
+        assert not any(raw in f for part in (found.metadata, found.dictionary, found.corpus) for f in part.inputFiles())
+        assert "document" not in {c for _, _, columns in stored for c in columns}
+    stored.clear()
+    found = plans.mail_job(mails, metadata=scratch_path(spark, "m"))
+    assert [label for label, _, _ in stored] == ["mails"] and "terms" not in stored[0][2]
+    assert found.dictionary is None and found.corpus is None
+    stored.clear()
+    plans.mail_job(mails, dictionary=scratch_path(spark, "d"))
+    assert stored[0][2] == ["id", "path", "terms"]
+    assert plans.mail_job(mails) == plans.mail.MailResult()
+
+
+def test_defaults_of_training(spark):
+    corpus = spark.createDataFrame([(i, [i % 3, 3], [1, 2]) for i in range(30)], "id long, words array<int>, counts array<int>")
+    model = topics.train(to_vectors(corpus, 4), 4)
+    assert model.getK() == 20 and model.getMaxIter() == 10 and model.getOptimizer() == "em"
+    with pytest.raises(ValueError, match="supported"):
+        topics.train(to_vectors(corpus, 4), 4, algorithm="gibbs")
+
+
+def test_a_model_of_another_vocabulary_is_refused(spark):
+    corpus = spark.createDataFrame([(i, [0, 1], [1, 2]) for i in range(9)], "id long, words array<int>, counts array<int>")
+    path, other = scratch_path(spark, "corpus"), scratch_path(spark, "corpus")
+    sinks.write_corpus(corpus, 2, path)
+    sinks.write_corpus(corpus, 3, other)
+    plans.train_job(spark, path, path + "-out", k=2, max_iterations=1)
+    with pytest.raises(ValueError, match="words"):
+        plans.apply_job(spark, path + "-out.model", other, path + "-topics")
+
+
+def test_readers_pass_the_first_line_and_sort(spark, tmp_path):
+    corpus = tmp_path / "corpus.txt"
+    corpus.write_text("any words; 1;2;3\n3 2\n7;2,0;5,4\n\n8;;\n")
+    rows = sources.read_corpus(spark, str(corpus)).orderBy("id").collect()
+    assert [tuple(r) for r in rows] == [(7, [0, 2], [4.0, 5.0]), (8, [], [])]
+    assert sources.read_corpus_header(spark, str(corpus)) == (3, 2)
+    (tmp_path / "bad.txt").write_text("comment\nno header\n1;1;1\n")
+    with pytest.raises(ValueError, match="n_words n_docs"):
+        sources.read_corpus_header(spark, str(tmp_path / "bad.txt"))
+    matrix = tmp_path / "matrix.txt"
+    matrix.write_text("free text 1 2 3\n% comment\n2 3 2\n1 3 4\n2 1 1\n")
+    rows = sources.read_matrix_market(spark, str(matrix)).orderBy("id").collect()
+    assert [tuple(r) for r in rows] == [(0, [2], [4.0]), (1, [0], [1.0])]
+    (tmp_path / "only.txt").write_text("first\n% comment\n")
+    with pytest.raises(ValueError, match="first file"):
+        sources.read_matrix_market(spark, str(tmp_path / "only.txt"))
+
+
+def test_a_split_join_reads_its_rows_once(spark):
+    path = scratch_path(spark, "rows")
+    spark.range(3000).select(F.expr("if(id % 3 = 0, 'hot', if(id % 50 = 1, null, concat('w', id % 40)))").alias("k"), "id").write.parquet(path)
+    rows = spark.read.parquet(path)
+    table = spark.createDataFrame([(f"w{i}", i) for i in range(30)] + [("hot", -1)], "k string, v int")
+    hot = spark.createDataFrame([("hot", -1, 1000)], "k string, v int, n long")
+    joined = join_split(rows, table, "k", hot)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    want = {r.k: r.v for r in table.collect()}
+    found = joined.collect()
+    assert len(found) == 3000 and all(r.v == want.get(r.k) for r in found)
