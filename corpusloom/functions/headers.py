@@ -17,11 +17,16 @@ _LINE_END = r"(?>\r\n|\n|\r)"
 # --- fixed values: the accepted date form and the names in it ----------------
 #: Zone names: usual abbreviations, offsets written as GMT+1, and ids by region.
 ZONE_NAMES = (
-    "UTC GMT UT Z EST EDT CST CDT MST MDT PST PDT AKST AKDT HST AST ADT NST NDT BRT ART CLT COT PET"
-    " WET WEST CET CEST EET EEST MSK BST IST SAST EAT CAT WAT PKT NPT ICT WIB HKT SGT PHT JST KST"
-    " AWST ACST ACDT AEST AEDT NZST NZDT"
-).split()
-ZONE_REGIONS = "Africa America Antarctica Arctic Asia Atlantic Australia Europe Indian Pacific Etc US Canada".split()
+    "UTC", "GMT", "UT", "Z", "EST", "EDT", "CST", "CDT", "MST", "MDT", "PST", "PDT", "AKST", "AKDT",
+    "HST", "AST", "ADT", "NST", "NDT", "BRT", "ART", "CLT", "COT", "PET", "WET", "WEST", "CET",
+    "CEST", "EET", "EEST", "MSK", "BST", "IST", "SAST", "EAT", "CAT", "WAT", "PKT", "NPT", "ICT",
+    "WIB", "HKT", "SGT", "PHT", "JST", "KST", "AWST", "ACST", "ACDT", "AEST", "AEDT", "NZST",
+    "NZDT",
+)
+ZONE_REGIONS = (
+    "Africa", "America", "Antarctica", "Arctic", "Asia", "Atlantic", "Australia", "Europe",
+    "Indian", "Pacific", "Etc", "US", "Canada",
+)
 _ZONE = (
     rf"(?:{'|'.join(ZONE_NAMES)}|(?:UTC|GMT|UT)[+-]\d{{1,2}}(?::\d\d)?"
     rf"|(?:{'|'.join(ZONE_REGIONS)})(?:/[A-Za-z_+0-9-]+)+)"
@@ -34,8 +39,8 @@ DATE_PATTERN = (
     r"(Z|[+-](?:(?:0\d|1[0-7])(?:[0-5]\d)?|18(?:00)?)) "
     rf"\({_ZONE}\)$"
 )
-MONTHS = "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec".split()
-WEEKDAYS = "Sun Mon Tue Wed Thu Fri Sat".split()
+MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
+WEEKDAYS = ("Sun", "Mon", "Tue", "Wed", "Thu", "Fri", "Sat")
 # --- end of fixed values -----------------------------------------------------
 
 

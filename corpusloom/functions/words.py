@@ -10,17 +10,20 @@ from pyspark.sql import functions as F
 # --- fixed values -----------------------------------------------------------
 #: The common English stop list of 33 words.
 ENGLISH_STOP_WORDS = (
-    "a an and are as at be but by for if in into is it no not of on or such that "
-    "the their then there these they this to was will with"
-).split()
+    "a", "an", "and", "are", "as", "at", "be", "but", "by", "for", "if", "in", "into", "is", "it",
+    "no", "not", "of", "on", "or", "such", "that", "the", "their", "then", "there", "these", "they",
+    "this", "to", "was", "will", "with",
+)
 
 #: Punctuation that never counts as a word of a mail.
-PUNCTUATION_WORDS = [
+PUNCTUATION_WORDS = (
     "", ".", ",", "\u2019", "\u2018", "\u2013", "\u2022", "\u2014", "\uf02d", "\u20ac", "\u2026",
-]
+)
 
 #: Word classes (Penn Treebank tags) a mail token may have.
-KEPT_TAGS = "FW JJ NN NNP NNPS NNS RB RP VB VBD VBG VBN VBP VBZ".split()
+KEPT_TAGS = (
+    "FW", "JJ", "NN", "NNP", "NNPS", "NNS", "RB", "RP", "VB", "VBD", "VBG", "VBN", "VBP", "VBZ",
+)
 
 #: Shortest word, in UTF-16 units, that the simple tokenizer keeps.
 MIN_WORD_LENGTH = 3

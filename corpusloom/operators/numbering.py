@@ -32,6 +32,9 @@ def dense_index(df: DataFrame, *order: Column | str, name: str = "id", kind: str
         [(p, first) for (p, _), first in zip(sizes, firsts)], "part long, start long"
     )
     number = F.col("start") + F.col(_POSITION).bitwiseAND(F.lit((1 << _PART_BITS) - 1))
+    if kind == "int":  # also outside ANSI mode a number too large is an error, not another number
+        too_large = F.raise_error(F.lit("more rows than an int can number")).cast("long")
+        number = F.when(number < (1 << 31), number).otherwise(too_large)
     return placed.join(F.broadcast(starts), part == F.col("part")).select(
         number.cast(kind).alias(name), *(F.col(c) for c in df.columns)
     )

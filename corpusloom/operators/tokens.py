@@ -116,7 +116,7 @@ def _entries(lexicon: DataFrame) -> DataFrame:
     """One ``surface, lemma, kept`` row per word of a lexicon, in lower case, stored."""
     entry = F.min(F.struct(F.lower("lemma").alias("lemma"), "tag")).alias("entry")
     unique = lexicon.groupBy(F.lower("surface").alias("surface")).agg(entry)
-    kept = F.coalesce("entry.tag", F.lit(UNKNOWN_TAG)).isin(KEPT_TAGS)
+    kept = F.coalesce("entry.tag", F.lit(UNKNOWN_TAG)).isin(*KEPT_TAGS)
     return materialize(unique.select("surface", "entry.lemma", kept.alias("kept")), "lexicon")
 
 
