@@ -6,7 +6,6 @@ import hashlib
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from corpusloom.llm import pii
 from corpusloom.llm.catalog import QUERIES

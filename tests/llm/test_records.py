@@ -6,7 +6,6 @@ import struct
 import zlib
 
 import public_tokenizers
-import pytest
 from tokenizers import Tokenizer
 
 from corpusloom.llm import records
