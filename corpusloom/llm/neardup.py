@@ -5,12 +5,17 @@ texts are linked if the weighted Jaccard similarity of their bags is 0.8 or more
 is what links connect.  Class ids are the lowest document id of the class.
 
 Texts of equal bags are one node from the start, so copies cost a row each and no pair.  Nodes
-that share a band stand in one bucket.  Buckets are not paired out: in some rounds every
-member that is not yet connected to its bucket's hub (another hub each round) is compared to
-it, and only what is still unconnected after that is compared across the components of a
-bucket.  A pair is compared by signatures first, which drops pairs far below the limit, and
-by the bags themselves then.  35 bands of 6 registers miss a pair of similarity 0.8 once in
-40,000 times, and the signatures drop one as rarely; nothing else loses a link.
+that share a band stand in one bucket.  Buckets are not paired out:
+
+1. every member is compared to a hub of its bucket;
+2. members of small buckets that are not connected yet are compared; in large ones every
+   member is compared to the one of another component whose signature is nearest;
+3. what is left apart in large buckets is compared in blocks of bounded size, by signatures,
+   and only pairs that may be similar become rows, each in one of its buckets.
+
+A pair is compared by signatures first, which drops pairs far below the limit, and by the
+bags themselves then.  35 bands of 6 registers miss a pair of similarity 0.8 once in 40,000
+times, and the signatures drop one as rarely; nothing else loses a link.
 
 Shuffled are buckets, pairs and, for nodes that share a bucket, signatures and bags.  Hot
 buckets and hubs are joins that Spark can split.  Links and components stay distributed; the
@@ -23,7 +28,7 @@ belong to the class of each text; rows without an id take no part; empty tables
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,17 +39,24 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.bagminhash import band_hashes, mix, signatures
 from corpusloom.llm.common import broadcast_if_small, materialize
+from corpusloom.llm.worker import sliced
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 35, 6
-HUB_ROUNDS = 3
+
+#: Members of a bucket up to which it is paired out, and members of a block of a larger one.
+SMALL_BUCKET = 16
+BLOCK_ROWS = 1024
 
 #: Signatures that agree in fewer registers are dropped: 0.8 less four standard deviations.
 ESTIMATE = 0.69
 
+#: Labels of a task, where there are few.
+PART_ROWS = 200_000
+
 #: Shingles whose points a worker makes at once.
 GROUP_SHINGLES = 200_000
 
@@ -116,7 +128,7 @@ def _nodes(owner: np.ndarray, value: np.ndarray, n: int) -> list[bytes | None]:
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``key, node, bands, sig``; the short signature keeps 16 bits of a register."""
-    for batch in batches:
+    for batch in sliced(batches, 1):
         n = batch.num_rows
         owner, value = shingles(batch.column(1))
         nodes = _nodes(owner, value, n)
@@ -136,8 +148,8 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``node, bag``: sorted shingles, each as often as it occurs, a few bytes each; copies
-    within a batch are left out."""
-    for batch in batches:
+    within a slice are left out."""
+    for batch in sliced(batches, 0):
         n = batch.num_rows
         owner, value = shingles(batch.column(0))
         nodes = _nodes(owner, value, n)
@@ -161,6 +173,41 @@ def _close_signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(close))
 
 
+def _near(best_only: bool) -> Callable[[pa.Table], pa.Table]:
+    """Pairs ``a, b`` of a block, or of two, in different components and near by signature.
+
+    With ``best_only`` every member gives its nearest one, else all pairs come, each in the
+    lowest band that the two share.
+    """
+
+    def compare(table: pa.Table) -> pa.Table:
+        nodes, comps = table["node"].to_pylist(), np.array(table["comp"].to_pylist(), object)
+        band = table["band"][0].as_py()
+        sigs = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint16).reshape(len(nodes), -1)
+        own, i, j = (table[c].to_numpy() for c in ("own", "i", "j"))
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        nearest: dict[int, tuple[float, int]] = {}
+        rows: list[tuple[bytes, bytes]] = []
+        for x in left.tolist():
+            others = right[comps[right] != comps[x]]
+            if i[0] == j[0]:
+                others = others[others > x]
+            same = sigs[others] == sigs[x]
+            share = same.mean(axis=1)
+            kept = share >= ESTIMATE
+            if not best_only:
+                shared = same[kept].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
+                rows += [(nodes[x], nodes[y]) for y in others[kept][shared == band].tolist()]
+                continue
+            for y, s in zip(others[kept].tolist(), share[kept].tolist()):
+                nearest[x] = max(nearest.get(x, (0.0, 0)), (s, y))
+                nearest[y] = max(nearest.get(y, (0.0, 0)), (s, x))
+        rows += [(nodes[x], nodes[y]) for x, (_, y) in nearest.items()]
+        return pa.table({c: pa.array([r[k] for r in rows], pa.binary()) for k, c in enumerate(("a", "b"))})
+
+    return compare
+
+
 def _unpacked(bag: bytes) -> np.ndarray:
     wide = np.zeros((len(bag) // _HASH_BYTES, 8), np.uint8)
     wide[:, :_HASH_BYTES] = np.frombuffer(bag, np.uint8).reshape(-1, _HASH_BYTES)
@@ -200,19 +247,23 @@ def components(edges: DataFrame) -> DataFrame:
     """``node, comp`` of all nodes of ``a, b`` edges: the lowest node that links lead to.
 
     Every round takes the lowest label around, then the label of that label; rounds go on
-    until none changes.
+    until none changes.  Labels are broadcast if their size allows it, else shuffled.
     """
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = materialize(both.distinct(), "edges")
-    labels = materialize(
-        both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("comp")), "labels"
-    )
+    parts = 1 + both.count() // PART_ROWS  # small graphs are not worth many tasks
+
+    def stored(labels: DataFrame) -> DataFrame:
+        return materialize(labels.coalesce(parts), "labels")
+
+    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("comp")))
     while True:
-        around = both.join(labels.select(F.col("node").alias("b"), "comp"), "b").groupBy("a").agg(F.min("comp").alias("m"))
-        near = labels.join(around, labels["node"] == around["a"]).select("node", F.least("comp", "m").alias("m"), "comp")
-        far = labels.select(F.col("node").alias("m"), F.col("comp").alias("next"))
+        known = broadcast_if_small(labels)
+        around = both.join(known.select(F.col("node").alias("b"), "comp"), "b").groupBy("a").agg(F.min("comp").alias("m"))
+        near = around.join(known, F.col("a") == F.col("node")).select("node", F.least("comp", "m").alias("m"), "comp")
+        far = known.select(F.col("node").alias("m"), F.col("comp").alias("next"))
         step = near.join(far, "m").select("node", F.least("m", "next").alias("comp"), F.col("comp").alias("old"))
-        step = materialize(step.select("node", "comp", (F.col("comp") != F.col("old")).alias("moved")), "labels")
+        step = stored(step.select("node", "comp", (F.col("comp") != F.col("old")).alias("moved")))
         labels = step.select("node", "comp")
         if step.where("moved").isEmpty():
             return labels
@@ -222,7 +273,7 @@ class _Search:
     """Buckets, signatures, bags, and what has been compared so far."""
 
     def __init__(self, docs: DataFrame, sketches: DataFrame, text: str) -> None:
-        placed = sketches.where(F.col("node").isNotNull()).select(F.explode("bands").alias("bucket"), "node")
+        placed = sketches.where(F.col("node").isNotNull()).select(F.posexplode("bands").alias("band", "bucket"), "node")
         sized = placed.distinct()
         shared = sized.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
         self.buckets = materialize(sized.join(shared, "bucket"), "buckets")
@@ -231,54 +282,87 @@ class _Search:
         self.sigs = materialize(
             sketches.select("node", "sig").join(wanted, "node", "left_semi").dropDuplicates(["node"]), "signatures"
         )
-        every = docs.select(F.col(text).alias("text")).where(F.col(text).isNotNull())
-        bags = every.mapInArrow(_bags, "node binary, bag binary")
+        # one row of every node is enough for its bag
+        keys = sketches.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("key").alias("key"))
+        keys = materialize(keys.select("key").distinct(), "shared-keys")
+        rows = docs.select("key", F.col(text).alias("text")).join(broadcast_if_small(keys), "key", "left_semi")
+        bags = rows.select("text").mapInArrow(_bags, "node binary, bag binary")
         self.bags = materialize(bags.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "bags")
         self.tested: DataFrame | None = None
         self.edges: DataFrame | None = None
 
-    def compare(self, pairs: DataFrame) -> bool:
-        """Test pairs that are new, and keep their links; whether there were any links."""
+    def _new(self, pairs: DataFrame) -> DataFrame:
         ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if self.tested is not None:
             ordered = ordered.join(self.tested, ["a", "b"], "left_anti")
         new = materialize(ordered, "pairs")
         self.tested = new if self.tested is None else self.tested.union(new)
-        close = materialize(_with_both(new, self.sigs, "sig").mapInArrow(_close_signatures, "a binary, b binary"), "close")
+        return new
+
+    def compare(self, pairs: DataFrame | None, near: DataFrame | None = None) -> bool:
+        """Test pairs that are new, and keep their links; whether there were any links.
+
+        The signatures of ``near`` pairs are known to agree.
+        """
+        close = None if near is None else self._new(near)
+        if pairs is not None:
+            both = _with_both(self._new(pairs), self.sigs, "sig")
+            found = materialize(both.mapInArrow(_close_signatures, "a binary, b binary"), "close")
+            close = found if close is None else close.union(found)
         linked = _with_both(close, self.bags, "bag").mapInArrow(_similar, "a binary, b binary")
         links = materialize(linked, "links")
         self.edges = links if self.edges is None else self.edges.union(links)
         return not links.isEmpty()
 
     def labelled(self, labels: DataFrame | None) -> DataFrame:
-        """``bucket, node, comp``."""
-        if labels is None:
-            return self.buckets.select("bucket", "node", F.col("node").alias("comp"))
-        joined = self.buckets.join(labels, "node", "left")
-        return joined.select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
+        """``bucket, band, node, comp, n`` of the buckets that hold several components."""
+        placed = self.buckets.withColumn("comp", F.col("node"))
+        if labels is not None:
+            joined = self.buckets.join(labels, "node", "left")
+            placed = joined.select("bucket", "band", "node", F.coalesce("comp", "node").alias("comp"))
+        placed = materialize(placed, "placed")
+        mixed = placed.groupBy("bucket").agg(
+            F.min("comp").alias("low"),
+            F.max("comp").alias("high"),
+            F.count("*").alias("n"),
+            F.min_by(F.struct("node", "comp"), F.xxhash64("node")).alias("hub"),
+        )
+        mixed = mixed.where(F.col("low") != F.col("high")).select("bucket", "n", "hub")
+        return placed.join(mixed, "bucket")
+
+    def in_blocks(self, placed: DataFrame, best_only: bool) -> DataFrame:
+        """Near pairs of large buckets, found in blocks, and in pairs of blocks, by signature."""
+        n_blocks = F.ceil(F.col("n") / BLOCK_ROWS).cast("int")
+        own = F.pmod(F.xxhash64("node", F.lit(1)), n_blocks).cast("int")
+        blocks = placed.select("bucket", "band", "node", "comp", own.alias("own"), n_blocks.alias("blocks"))
+        turns = F.transform(
+            F.sequence(F.lit(0), F.col("blocks") - 1),
+            lambda k: F.struct(F.least(k, F.col("own")).alias("i"), F.greatest(k, F.col("own")).alias("j")),
+        )
+        met = blocks.join(self.sigs, "node").select("*", F.explode(turns).alias("t"))
+        met = met.select("bucket", "band", "node", "comp", "sig", "own", "t.i", "t.j")
+        return met.groupBy("bucket", "i", "j").applyInArrow(_near(best_only), "a binary, b binary")
 
 
 def node_classes(docs: DataFrame, sketches: DataFrame, text: str = "text") -> DataFrame | None:
     """``node, comp`` of all nodes that are linked to another one."""
     search = _Search(docs, sketches, text)
     labels = None
-    for turn in range(HUB_ROUNDS + 1):
-        placed = materialize(search.labelled(labels), "placed")
-        # buckets that one component fills have nothing to find
-        mixed = placed.groupBy("bucket").agg(
-            F.min("comp").alias("low"),
-            F.max("comp").alias("high"),
-            F.min_by(F.struct("node", "comp"), F.xxhash64(F.lit(turn), "node")).alias("hub"),
-        ).where(F.col("low") != F.col("high"))
-        if turn < HUB_ROUNDS:
-            apart = placed.join(mixed.select("bucket", "hub"), "bucket").where(F.col("comp") != F.col("hub.comp"))
-            pairs = apart.select(F.col("node").alias("a"), F.col("hub.node").alias("b"))
+    for turn in ("hubs", "nearest", "rest"):
+        placed = search.labelled(labels)
+        large = placed.where(F.col("n") > SMALL_BUCKET)
+        if turn == "hubs":
+            apart = placed.where(F.col("comp") != F.col("hub.comp"))
+            found = search.compare(apart.select(F.col("node").alias("a"), F.col("hub.node").alias("b")))
+        elif turn == "nearest":
+            small = placed.where(F.col("n") <= SMALL_BUCKET).select("bucket", "node", "comp")
+            other = small.select("bucket", F.col("node").alias("b"), F.col("comp").alias("other"))
+            crossed = small.join(other, "bucket").where(F.col("comp") < F.col("other"))
+            pairs = crossed.select(F.col("node").alias("a"), "b")
+            found = search.compare(pairs, near=search.in_blocks(large, best_only=True))
         else:
-            rest = placed.join(mixed.select("bucket"), "bucket", "left_semi")
-            other = rest.select("bucket", F.col("node").alias("b"), F.col("comp").alias("other"))
-            pairs = rest.join(other, "bucket").where(F.col("comp") < F.col("other"))
-            pairs = pairs.select(F.col("node").alias("a"), "b")
-        if search.compare(pairs):
+            found = search.compare(None, near=search.in_blocks(large, best_only=False))
+        if found:
             labels = components(search.edges)
     return labels
 

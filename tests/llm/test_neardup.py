@@ -93,6 +93,25 @@ def test_classes_equal_all_pairs(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted({c for c in got.values()})
 
 
+def test_large_buckets_are_compared_in_blocks(spark, monkeypatch):
+    """Hundreds of texts that are alike, some of them below the limit, in blocks of a few."""
+    monkeypatch.setattr(neardup, "SMALL_BUCKET", 3)
+    monkeypatch.setattr(neardup, "BLOCK_ROWS", 20)
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(400)}" for _ in range(150)]
+    rows = []
+    for i in range(150):
+        copy = list(base)
+        for _ in range(rng.choice([1, 2, 3, 4])):
+            copy[rng.randrange(150)] = f"x{rng.randrange(9999)}"
+        rows.append((i, " ".join(copy)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in neardup.near_duplicates(docs).collect()}
+    want = brute_force(rows)
+    assert len(set(want.values())) > 5
+    assert got == want
+
+
 def test_query_equals_all_pairs(spark, sf_dir):
     got = {r["doc_id"]: r["class_id"] for r in QUERIES["op5_near_duplicates"](spark, sf_dir).collect()}
     rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
