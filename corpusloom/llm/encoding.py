@@ -21,18 +21,21 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.pieces import LITERAL, SPACE, Pieces, unit_names, unit_parts
-from corpusloom.llm.worker import kept
+from corpusloom.llm.pieces import LITERAL, SPACE, Pieces, single_spaced, unit_names, unit_parts
+from corpusloom.llm.worker import gathered, kept, sliced
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CACHED_UNITS = 1 << 19
 CACHED_CHARS = 64
 
+_UNREACHED = -(1 << 62)
+
 
 class Viterbi:
     """Best segmentation of strings; ``segment`` gives ids, ``count`` their number."""
@@ -45,9 +48,26 @@ class Viterbi:
         for piece, i in pieces.ids.items():
             self.automaton.add_word(piece, (len(piece), pieces.scores[piece], i))
         self.automaton.make_automaton()
+        self.singles = {piece for piece in pieces.ids if len(piece) == 1}
 
     def _best(self, unit: str) -> tuple[list[int], list[int]]:
         """For every position the length of the last piece, and its id (-1: spelt)."""
+        if not self.singles.issuperset(unit):
+            return self._best_spelt(unit)
+        # every character is a piece, at more than the score of a spelt one, so none is spelt
+        n = len(unit)
+        score, ids, last, token = [_UNREACHED] * (n + 1), [0] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
+        score[0] = 0
+        for end, (length, gain, piece) in self.automaton.iter(unit):
+            stop = end + 1
+            start = stop - length
+            s, own = score[start] + gain, score[stop]
+            if s > own or (s == own and ids[start] + 1 < ids[stop]):
+                score[stop], ids[stop], last[stop], token[stop] = s, ids[start] + 1, length, piece
+        self._ids = ids
+        return last, token
+
+    def _best_spelt(self, unit: str) -> tuple[list[int], list[int]]:
         n = len(unit)
         spelt, lowest = self.pieces.spelt, None
         score: list[int | None] = [lowest] * (n + 1)
@@ -115,35 +135,66 @@ class PieceCodec:
             ids.extend(self.viterbi.segment(part))
         return array("i", ids).tobytes()
 
-    def encode(self, text: str | None) -> bytes:
-        """Ids as packed 32-bit numbers."""
-        names = unit_names(text or "")
+    def _lookup(self, names: list[str]) -> list[bytes]:
+        """Packed ids of distinct units."""
         known = self.known
-        missing = set(names).difference(known)
-        if not missing:
-            return b"".join([known[n] for n in names])
-        own = {n: self._unit(n) for n in missing}
-        packed = b"".join([known[n] if n in known else own[n] for n in names])
+        own = {n: self._unit(n) for n in names if n not in known}
+        packed = [own[n] if n in own else known[n] for n in names]
         if len(known) + len(own) > CACHED_UNITS:
             known.clear()
         known.update((n, ids) for n, ids in own.items() if len(n) <= CACHED_CHARS)
         return packed
 
+    def encode(self, text: str | None) -> np.ndarray:
+        """The ids of a text."""
+        names = unit_names(text or "")
+        distinct = list(dict.fromkeys(names))
+        by_name = dict(zip(distinct, self._lookup(distinct)))
+        return np.frombuffer(b"".join([by_name[n] for n in names]), np.int32)
+
+    def encode_all(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of every text; units of texts with single spaces are looked up together."""
+        plain = single_spaced(texts)
+        split = pc.split_pattern(texts.filter(pa.array(plain)), " ")
+        words = split.flatten().dictionary_encode()
+        packed = self._lookup(words.dictionary.to_pylist())
+        length = np.array([len(p) // 4 for p in packed], np.int64)
+        flat = np.frombuffer(b"".join(packed), np.int32)
+        ids, n = gathered(flat, np.cumsum(length) - length, length, words.indices.to_numpy())
+        before = np.concatenate([[0], np.cumsum(n)])
+        offsets = split.offsets.to_numpy() - split.offsets[0].as_py()
+        found = iter(np.split(ids, before[offsets[1:-1]]))
+        return [next(found) if p else self.encode(texts[i].as_py()) for i, p in enumerate(plain)]
+
     def decode(self, ids: np.ndarray) -> str:
         data = self.pieces.data
         return b"".join([data[i] for i in ids.tolist()])[1:].decode("utf-8", "surrogatepass")
 
+    def comes_back(self, texts: pa.Array, ids: list[np.ndarray]) -> list[bool]:
+        """Whether decoding gives every text back, byte by byte."""
+        length = np.array([len(d) for d in self.pieces.data], np.int64)
+        flat = np.frombuffer(b"".join(self.pieces.data), np.uint8)
+        joined = np.concatenate([np.zeros(0, np.int32), *ids])
+        decoded, n = gathered(flat, np.cumsum(length) - length, length, joined)
+        ends = np.concatenate([[0], np.cumsum(n)])[np.cumsum([len(x) for x in ids], dtype=np.int64)] if ids else []
+        same, begin = [], 0
+        for text, end in zip(texts, ends):
+            own = text.as_buffer()
+            part = decoded[begin + 1 : end]  # behind the space in front of every text
+            same.append(bool(len(part) == own.size and np.array_equal(part, np.frombuffer(own, np.uint8))))
+            begin = end
+        return same
+
 
 def _encoded(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = kept(f"pieces of {path}", lambda: PieceCodec(path))
-        for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
-            packed = [codec.encode(t.as_py()) for t in texts]
-            ends = np.cumsum([0] + [len(p) // 4 for p in packed], dtype=np.int32)
-            ids = np.frombuffer(b"".join(packed), np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))
-            same = [codec.decode(ids[a:b]) == (t.as_py() or "") for a, b, t in zip(ends, ends[1:], texts)]
+        for batch in sliced(batches, -1):
+            texts = pc.fill_null(batch.column(batch.num_columns - 1).cast(pa.large_string()), "")
+            ids = codec.encode_all(texts)
+            ends = np.cumsum([0] + [len(x) for x in ids], dtype=np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))
+            same = codec.comes_back(texts, ids)
             names = [*batch.schema.names[:-1], "ids", "lossless"]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], lists, pa.array(same)], names)
 

@@ -16,6 +16,9 @@ from __future__ import annotations
 import re
 import sys
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -68,3 +71,10 @@ def unit_parts(name: str) -> tuple[str, list[str]]:
     """The part before the first line feed, with spaces written as in pieces, and the rest."""
     first, *rest = name.replace(SPACE, LITERAL).split("\n")
     return (SPACE + first).replace(" ", SPACE), rest
+
+
+def single_spaced(texts: pa.Array) -> np.ndarray:
+    """Which texts have units that are their words between single spaces; empty texts have none."""
+    other = pc.or_(pc.starts_with(texts, " "), pc.match_substring(texts, "  "))
+    found = pc.and_(pc.invert(other), pc.greater(pc.binary_length(texts), 0))
+    return found.to_numpy(zero_copy_only=False)

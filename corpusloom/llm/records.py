@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import broadcast_if_small, materialize
-from corpusloom.llm.worker import kept, sliced
+from corpusloom.llm.worker import gathered, kept, sliced
 from corpusloom.runtime import scratch_path
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -94,15 +94,6 @@ def parsed(payload: memoryview) -> tuple[int | None, np.ndarray]:
     return (None if flags & _NULL_ID else doc), ids
 
 
-def _gathered(flat: np.ndarray, start: np.ndarray, length: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pieces ``flat[start[i] : start[i] + length[i]]`` of every i of index in a row, and their lengths."""
-    n = length[index]
-    ends = np.cumsum(n)
-    place = np.repeat(start[index] - (ends - n), n)
-    place += np.arange(len(place))
-    return flat[place], n
-
-
 class WordEncoder:
     """Texts to ids; the library encodes every new word once.
 
@@ -156,12 +147,12 @@ class WordEncoder:
             parts = pa.concat_arrays([heads, tails]).dictionary_encode()
             table = self._table(parts.dictionary)
             own = parts.indices.to_numpy().reshape(2, -1).T.ravel()
-            flat, n = _gathered(*table, own)
+            flat, n = gathered(*table, own)
             length = n.reshape(-1, 2).sum(axis=1)
             start = np.cumsum(length) - length
         else:
             flat, start, length = self._table(names)
-        ids, n = _gathered(flat, start, length, words.indices.to_numpy())
+        ids, n = gathered(flat, start, length, words.indices.to_numpy())
         before = np.concatenate([[0], np.cumsum(n)])
         offsets = split.offsets.to_numpy() - split.offsets[0].as_py()
         return np.split(ids, before[offsets[1:-1]]) if len(texts) else []

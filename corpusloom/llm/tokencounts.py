@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.encoding import Viterbi
-from corpusloom.llm.pieces import Pieces, unit_names, unit_parts
+from corpusloom.llm.pieces import Pieces, single_spaced, unit_names, unit_parts
 from corpusloom.llm.worker import kept, sliced
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -152,8 +152,7 @@ class Counter:
     def documents(self, texts: pa.Array) -> np.ndarray:
         """Number of ids of every text."""
         texts = pc.fill_null(texts, "")
-        plain = pc.invert(pc.or_(pc.starts_with(texts, " "), pc.match_substring(texts, "  ")))
-        plain = pc.and_(plain, pc.greater(pc.binary_length(texts), 0)).to_numpy(zero_copy_only=False)
+        plain = single_spaced(texts)
         result = np.zeros(len(texts), np.int64)
         split = pc.split_pattern(texts.filter(pa.array(plain)), " ")
         words = split.flatten().dictionary_encode()

@@ -39,3 +39,12 @@ def sliced(batches: Iterator[pa.RecordBatch], column: int, limit: int = SLICE_BY
             last = max(first + 1, int(np.searchsorted(ends, room, side="right")))
             yield batch.slice(first, last - first)
             first = last
+
+
+def gathered(flat: np.ndarray, start: np.ndarray, length: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces ``flat[start[i] : start[i] + length[i]]`` of every i of index in a row, and their lengths."""
+    n = length[index]
+    ends = np.cumsum(n)
+    place = np.repeat(start[index] - (ends - n), n)
+    place += np.arange(len(place))
+    return flat[place], n

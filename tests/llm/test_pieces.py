@@ -62,7 +62,8 @@ def check(text: str, codec: PieceCodec) -> None:
     import numpy as np
     import pyarrow as pa
 
-    ids = np.frombuffer(codec.encode(text), np.int32)
+    ids = codec.encode(text)
+    assert np.array_equal(codec.encode_all(pa.array(["a", text, text], pa.large_string()))[1], ids)
     assert codec.decode(ids) == text
     score, n = plain_best(text, codec.pieces)
     assert len(ids) == n
