@@ -2,16 +2,19 @@
 
 A line is compared in a normal form (lower case, white space collapsed, digits as 0).
 For every host the distinct documents that hold a line are counted; exact copies of a
-text count once, so a copied document does not turn its own lines into boilerplate.  A
-line is above the limit if it stands in ``min_docs`` documents of its host or more, and
-in ``share`` of them or more.  Such lines are removed, and a document that keeps less
-than ``min_left`` of its words is depleted.  Base rules on words come first.
+text count once.  A line that stands in ``min_docs`` documents of its host or more is a
+candidate, however large the host is.  Near copies hold each other's lines, so a second
+count takes only documents that keep ``min_left`` of their words without all candidates:
+a line is frequent if ``min_docs`` of these hold it.  Texts that are alike as a whole thus
+have no say, and a block of several common lines is found line by line.  Frequent lines
+are removed, and a document that keeps less than ``min_left`` of its words is depleted.
+Base rules on words come first.
 
 Everything is DataFrame expressions.  Counting shuffles one number per (host, line,
-text) after map-side aggregation; a line of every document costs one row per task.  Texts
-are not shuffled: the lines above the limit - at most ``lines per document / share`` of a
-host, as each takes that share of its documents - are joined by host, by broadcast if
-their size allows it.
+text) after map-side aggregation; a line of every document costs one row per task.
+Candidate and frequent lines are broadcast as one hash table per host if their size allows
+it, and then texts are not shuffled; otherwise the lines of each text are found by a shuffle
+of hashes, and joined to the rows by host and text hash.
 
 Null texts have no words and fail the base rule; a null host is a host of its own;
 repeated rows are judged one by one; an empty table gives an empty result.
@@ -28,7 +31,6 @@ from corpusloom.runtime import value_bytes
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
 MIN_DOCS = 20
-SHARE = 0.2
 MIN_LEFT = 0.3
 
 SYMBOLS = "[#*$%&|<>]"
@@ -88,23 +90,74 @@ def base_measures(text: Column) -> Column:
     return let(words_of(text), counted)
 
 
+def _host(host: str) -> Column:
+    return F.coalesce(F.col(host).cast("string"), F.lit(""))
+
+
+def _held(docs: DataFrame, text: str, host: str) -> DataFrame:
+    """``host, content, line``: the distinct lines of every text."""
+    hashes = F.array_distinct(F.transform(lines_with_words(F.col(text)), line_hash))
+    return docs.where(F.col(text).isNotNull()).select(
+        _host(host).alias("host"), F.xxhash64(text).alias("content"), F.explode(hashes).alias("line")
+    )
+
+
+def _with_lines(docs: DataFrame, lines: DataFrame, text: str, host: str) -> DataFrame:
+    """``docs`` and ``__lines``: a hash table of the host's ``lines``, null if it has none."""
+    if value_bytes(lines) <= BROADCAST_BYTES:
+        sizes = lines.groupBy("host").agg(F.count("*").cast("int").alias("n"))
+        slots = sizes.select("host", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("slot"))
+        placed = lines.join(sizes, "host").select("host", F.pmod("line", "n").cast("int").alias("slot"), "line")
+        slots = placed.unionByName(slots, allowMissingColumns=True).groupBy("host", "slot").agg(F.collect_list("line").alias("l"))
+        tables = slots.groupBy(F.col("host").alias("__host")).agg(F.sort_array(F.collect_list(F.struct("slot", "l"))).alias("s"))
+        tables = F.broadcast(tables.select("__host", F.col("s.l").alias("__lines")))
+        return docs.join(tables, _host(host) == F.col("__host"), "left").drop("__host")
+    own = _held(docs, text, host).distinct().join(lines.select("host", "line"), ["host", "line"], "left_semi")
+    own = own.groupBy(F.col("host").alias("__host"), F.col("content").alias("__content")).agg(
+        F.array(F.collect_list("line")).alias("__lines")
+    )
+    same = (_host(host) == F.col("__host")) & (F.xxhash64(text) == F.col("__content"))
+    return docs.join(own, same, "left").drop("__host", "__content")
+
+
+def _listed(h: Column) -> Column:
+    """Whether ``__lines`` holds the line hash ``h``."""
+    slot = F.pmod(h, F.size("__lines").cast("long")).cast("int")
+    return F.array_contains(F.get("__lines", slot), h)
+
+
 def frequent_lines(
-    docs: DataFrame, text: str = "text", host: str = "source", min_docs: int = MIN_DOCS, share: float = SHARE
+    docs: DataFrame,
+    text: str = "text",
+    host: str = "source",
+    min_docs: int = MIN_DOCS,
+    min_left: float = MIN_LEFT,
 ) -> DataFrame:
-    """``host, line, n_docs`` of the lines above the limit, stored in the scratch folder."""
-    hashes = F.array_distinct(F.transform(lines_with_words(F.col(text)), line_hash))
-    held = docs.where(F.col(text).isNotNull()).select(
-        F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"),
-        F.xxhash64(text).alias("content"),
-        # the null line of every document counts the documents of its host
-        F.explode(F.concat(F.array(F.lit(None).cast("long")), hashes)).alias("line"),
+    """``host, line, n_docs`` of the frequent lines, stored in the scratch folder."""
+    counts = _held(docs, text, host).groupBy("host", "line").agg(F.count_distinct("content").alias("n_docs"))
+    usual = materialize(counts.where(F.col("n_docs") >= min_docs), "line-counts")
+    joined = _with_lines(docs.where(F.col(text).isNotNull()), usual, text, host).where(F.col("__lines").isNotNull())
+
+    def words(lines: Column) -> Column:
+        return F.aggregate(lines, F.lit(0).cast("long"), lambda n, x: n + x["n"])
+
+    def voted(lines: Column) -> Column:
+        own = F.filter(lines, lambda x: ~x["usual"])
+        found = F.array_distinct(F.transform(F.filter(lines, lambda x: x["usual"]), lambda x: x["h"]))
+        return F.when(words(own) >= min_left * words(lines), found)
+
+    hashed = F.transform(
+        lines_with_words(F.col(text)),
+        lambda line: let(
+            line_hash(line),
+            lambda h: F.struct(h.alias("h"), _listed(h).alias("usual"), F.regexp_count(line, F.lit(WORD)).alias("n")),
+        ),
+    )
+    votes = joined.select(
+        _host(host).alias("host"), F.xxhash64(text).alias("content"), F.explode(let(hashed, voted)).alias("line")
     )
-    counts = held.groupBy("host", "line").agg(F.count_distinct("content").alias("n_docs"))
-    counts = materialize(counts.where((F.col("n_docs") >= min_docs) | F.col("line").isNull()), "line-counts")
-    hosts = counts.where(F.col("line").isNull()).select("host", F.col("n_docs").alias("host_docs"))
-    above = counts.where(F.col("line").isNotNull()).join(hosts, "host")
-    above = above.where(F.col("n_docs") >= share * F.col("host_docs"))
-    return materialize(above.select("host", "line", "n_docs"), "frequent-lines")
+    counts = votes.groupBy("host", "line").agg(F.count_distinct("content").alias("n_docs"))
+    return materialize(counts.where(F.col("n_docs") >= min_docs), "frequent-lines")
 
 
 def add_quality(
@@ -113,20 +166,15 @@ def add_quality(
     text: str = "text",
     host: str = "source",
     min_docs: int = MIN_DOCS,
-    share: float = SHARE,
     min_left: float = MIN_LEFT,
 ) -> DataFrame:
     """All columns of ``docs`` and a struct ``into``: base counts, ``base_failed, kept``,
     ``n_lines_removed, n_words_left`` and ``clean_text`` (the text without frequent lines)."""
-    frequent = frequent_lines(docs, text, host, min_docs, share)
-    per_host = frequent.groupBy(F.col("host").alias("__host")).agg(F.collect_list("line").alias("__lines"))
-    if value_bytes(frequent) <= BROADCAST_BYTES:
-        per_host = F.broadcast(per_host)
-    joined = docs.join(per_host, F.coalesce(F.col(host).cast("string"), F.lit("")) == F.col("__host"), "left")
+    joined = _with_lines(docs, frequent_lines(docs, text, host, min_docs, min_left), text, host)
     whole = F.coalesce(F.col(text), F.lit(""))
 
     def removed(line: Column) -> Column:
-        return line.rlike(WORD) & F.array_contains("__lines", line_hash(line))
+        return line.rlike(WORD) & let(line_hash(line), _listed)
 
     def cleaned(lines: Column) -> Column:
         return let(
@@ -155,4 +203,4 @@ def add_quality(
         )
 
     result = let(F.struct(base_measures(whole).alias("base"), cut.alias("cut")), lambda x: judged(x["base"], x["cut"]))
-    return joined.withColumn(into, result).drop("__host", "__lines")
+    return joined.withColumn(into, result).drop("__lines")
