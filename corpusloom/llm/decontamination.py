@@ -4,7 +4,8 @@ Texts become templates: numbers, names (capitalised words inside a sentence) and
 (unit words behind a number) are replaced by typed placeholders, everything else is lower
 case.  Windows of ``WINDOW`` template tokens are hashed; those of the benchmark are joined
 to those of the documents.  A document is a candidate for an item if it holds ``COVERAGE``
-of the item's windows or more.  Its slots are then checked: wherever windows match, a value
+of the item's windows or more, in this template or in a second one without names, which
+does not depend on capitals.  Its slots are then checked: wherever windows match, a value
 of the item must stand for the same value of the document (for ``CONSISTENT`` of its uses),
 so that a question with other numbers is caught, and a form that many texts share is not.
 
@@ -50,7 +51,7 @@ def _number(t: Column) -> Column:
     return (t >= "0") & (t < ":")
 
 
-def _template(raw: Column, values: bool) -> Column:
+def _template(raw: Column, values: bool, folded: bool) -> Column:
     """Template hashes of tokens - or structs with the slot values beside them - without marks."""
 
     def one(t: Column, i: Column) -> Column:
@@ -60,7 +61,7 @@ def _template(raw: Column, values: bool) -> Column:
             F.when(t.isin(".", "!", "?", "\n"), None)
             .when(_number(t), F.lit(NUMBER).cast("long"))
             .when(_number(before) & low.isin(*UNITS), F.lit(UNIT).cast("long"))
-            .when(~opens & (low != t), F.lit(NAME).cast("long"))
+            .when(F.lit(not folded) & ~opens & (low != t), F.lit(NAME).cast("long"))
             .otherwise(F.xxhash64(low))
         )
         if not values:
@@ -70,14 +71,15 @@ def _template(raw: Column, values: bool) -> Column:
     return F.filter(F.transform(raw, one), lambda x: (x["h"] if values else x).isNotNull())
 
 
-def template(text: Column, values: bool = False) -> Column:
+def template(text: Column, values: bool = False, folded: bool = False) -> Column:
+    """Tokens of a text; the ``folded`` template has no names, and is the same in any case."""
     raw = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(0))
-    return let(raw, lambda r: _template(r, values))
+    return let(raw, lambda r: _template(r, values, folded))
 
 
-def _window(tokens: Column, i: Column, field: str | None = None) -> Column:
+def _window(tokens: Column, i: Column, folded: bool, field: str | None = None) -> Column:
     parts = (F.get(tokens, i + k) for k in range(WINDOW))
-    return F.xxhash64(*(p if field is None else p[field] for p in parts))
+    return F.xxhash64(F.lit(folded), *(p if field is None else p[field] for p in parts))
 
 
 def _starts(tokens: Column) -> Column:
@@ -85,8 +87,15 @@ def _starts(tokens: Column) -> Column:
     return F.when(F.size(tokens) < WINDOW, none).otherwise(F.sequence(F.lit(0), F.size(tokens) - WINDOW))
 
 
+def passages(items: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
+    """``item, passage, text``: the texts of all items."""
+    one = items.groupBy(F.col(key).alias("item")).agg(F.max(text).alias("text"))
+    return one.select("item", F.xxhash64(F.col("item").cast("string"), "text").alias("passage"), "text")
+
+
 def benchmark_windows(items: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
-    """``item, n_windows, pos, window, slots`` of all items, stored in the scratch folder.
+    """``item, passage, folded, n_windows, n_tokens, pos, window, slots`` of all items in both
+    templates, stored in the scratch folder.
 
     ``slots`` lists offset, kind and value of the window's placeholders.
     """
@@ -98,88 +107,125 @@ def benchmark_windows(items: DataFrame, key: str = "item_id", text: str = "text"
         )
         return F.filter(own, lambda x: x["h"].between(UNIT, NUMBER))
 
-    def windows(tokens: Column) -> Column:
+    def windows(tokens: Column, folded: bool) -> Column:
         own = F.transform(
             _starts(tokens),
             lambda i: F.struct(
-                i.alias("pos"), _window(tokens, i, "h").alias("window"), slots(tokens, i).alias("slots")
+                i.alias("pos"), _window(tokens, i, folded, "h").alias("window"), slots(tokens, i).alias("slots")
             ),
         )
-        return F.filter(own, lambda x: F.size(x["slots"]) <= WINDOW - LITERALS)
+        counted = F.filter(own, lambda x: F.size(x["slots"]) <= WINDOW - LITERALS)
+        return F.struct(F.lit(folded).alias("folded"), F.size(tokens).alias("n_tokens"), counted.alias("w"))
 
-    one = items.groupBy(F.col(key).alias("item")).agg(F.max(text).alias("text"))
-    listed = one.select("item", let(template(F.col("text"), values=True), windows).alias("w"))
-    rows = listed.select("item", F.size("w").alias("n_windows"), F.explode("w").alias("x"))
-    return materialize(rows.select("item", "n_windows", "x.pos", "x.window", "x.slots"), "benchmark-windows")
+    def listing(folded: bool) -> Column:
+        return let(template(F.col("text"), True, folded), lambda t: windows(t, folded))
+
+    both = F.array(listing(False), listing(True))
+    listed = passages(items, key, text).select("item", "passage", F.explode(both).alias("t"))
+    rows = listed.select("item", "passage", "t.folded", "t.n_tokens", F.size("t.w").alias("n_windows"), F.explode("t.w").alias("x"))
+    rows = rows.select("item", "passage", "folded", "n_windows", "n_tokens", "x.pos", "x.window", "x.slots")
+    return materialize(rows, "benchmark-windows")
 
 
 def candidates(docs: DataFrame, windows: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc, item, n_hits, n_windows`` of documents that hold enough of an item's windows."""
-    # a text's equal windows are one
-    hashed = F.array_distinct(let(template(F.col(text)), lambda t: F.transform(_starts(t), lambda i: _window(t, i))))
-    held = docs.select(F.col(key).alias("doc"), F.explode(hashed).alias("window"))
-    keys = windows.select("window", "item", "n_windows", "pos")
+    """``doc, passage, folded`` of documents that hold enough of a passage's windows."""
+
+    def hashed(folded: bool) -> Column:
+        # a text's equal windows are one
+        tokens = template(F.col(text), folded=folded)
+        return F.array_distinct(let(tokens, lambda t: F.transform(_starts(t), lambda i: _window(t, i, folded))))
+
+    held = docs.select(F.col(key).alias("doc"), F.explode(F.concat(hashed(False), hashed(True))).alias("window"))
+    keys = windows.select("window", "passage", "folded", "n_windows", "pos")
     hits = held.join(broadcast_if_small(keys), "window")
-    pairs = hits.groupBy("doc", "item").agg(
+    pairs = hits.groupBy("doc", "passage", "folded").agg(
         F.count_distinct("pos").alias("n_hits"), F.first("n_windows").alias("n_windows")
     )
-    return pairs.where(F.col("n_hits") >= COVERAGE * F.col("n_windows"))
+    return pairs.where(F.col("n_hits") >= COVERAGE * F.col("n_windows")).select("doc", "passage", "folded")
 
 
-def slot_agreement(
+def window_hits(
     docs: DataFrame, windows: DataFrame, pairs: DataFrame, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """``doc, item, agreement, changed``: how consistently slots are filled, and whether a
-    value differs from the item's.  Pairs without slots are not listed."""
+    """Every place of a candidate where a window of its passage stands, with ``slots`` of kind,
+    ``own`` value of the item and value ``here``; stored in the scratch folder."""
     ids = materialize(pairs.select("doc").distinct(), "candidate-documents")
     texts = docs.select(F.col(key).alias("doc"), F.col(text).alias("text"))
     chosen = texts.join(broadcast_if_small(ids), texts["doc"].eqNullSafe(ids["doc"]), "left_semi")
 
-    def placed(tokens: Column) -> Column:
-        return F.transform(
-            _starts(tokens),
-            lambda i: F.struct(
-                _window(tokens, i, "h").alias("window"),
-                F.transform(F.slice(tokens, i + 1, WINDOW), lambda x: x["v"]).alias("values"),
-            ),
-        )
+    def placed(folded: bool) -> Column:
+        def one(tokens: Column, i: Column) -> Column:
+            values = F.transform(F.slice(tokens, i + 1, WINDOW), lambda x: x["v"])
+            return F.struct(i.alias("dpos"), _window(tokens, i, folded, "h").alias("window"), values.alias("values"))
+
+        return let(template(F.col("text"), True, folded), lambda t: F.transform(_starts(t), lambda i: one(t, i)))
+
+    held = chosen.select("doc", F.xxhash64("text").alias("copy"), F.explode(F.concat(placed(False), placed(True))).alias("x"))
+    held = held.select("doc", "copy", "x.dpos", "x.window", "x.values")
+    hits = held.join(broadcast_if_small(windows, windows.drop("slots")), "window")
+    same = F.col("h.doc").eqNullSafe(F.col("p.doc"))
+    for c in ("passage", "folded"):
+        same &= F.col(f"h.{c}") == F.col(f"p.{c}")
+    wanted = hits.alias("h").join(broadcast_if_small(pairs).alias("p"), same, "left_semi")
+    slots = F.transform(
+        "slots", lambda s: F.struct(s["h"].alias("kind"), s["v"].alias("own"), F.get("values", s["k"]).alias("here"))
+    )
+    return materialize(wanted.withColumn("slots", slots).drop("values", "window"), "benchmark-hits")
+
+
+PAIR = ["doc", "item", "passage", "folded"]
 
-    held = chosen.select("doc", F.explode(let(template(F.col("text"), values=True), placed)).alias("x"))
-    slotted = windows.where(F.size("slots") > 0).select("item", "window", "slots")
-    hits = held.select("doc", "x.window", "x.values").join(broadcast_if_small(slotted, slotted.drop("slots")), "window")
-    same = (F.col("h.doc").eqNullSafe(F.col("p.doc"))) & (F.col("h.item") == F.col("p.item"))
-    wanted = hits.alias("h").join(pairs.alias("p"), same, "left_semi")
-    uses = wanted.select("doc", "item", "values", F.explode("slots").alias("s")).select(
-        "doc", "item", F.col("s.h").alias("kind"), F.col("s.v").alias("own"), F.get("values", F.col("s.k")).alias("here")
+
+def judged(hits: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, n_windows, n_hits, first, last, agreement, changed`` of groups of hits: how
+    consistently slots are filled, and whether a value differs from the item's."""
+    groups = hits.groupBy(*keys).agg(
+        F.first("n_windows").alias("n_windows"),
+        F.count_distinct("pos").alias("n_hits"),
+        F.min("pos").alias("first"),
+        F.max("pos").alias("last"),
     )
-    filled = uses.groupBy("doc", "item", "kind", "own", "here").count()
-    best = filled.groupBy("doc", "item", "kind", "own").agg(
+    uses = hits.select(*keys, F.explode("slots").alias("s")).select(*keys, "s.kind", "s.own", "s.here")
+    filled = uses.groupBy(*keys, "kind", "own", "here").count()
+    best = filled.groupBy(*keys, "kind", "own").agg(
         F.max("count").alias("most"), F.sum("count").alias("uses"), F.max(F.col("own") != F.col("here")).alias("changed")
     )
-    return best.groupBy("doc", "item").agg(
+    slots = best.groupBy(*keys).agg(
         (F.sum("most") / F.sum("uses")).alias("agreement"), F.max("changed").alias("changed")
     )
+    same = F.lit(True)
+    for c in keys:
+        same &= F.col(f"g.{c}").eqNullSafe(F.col(f"s.{c}"))
+    return groups.alias("g").join(slots.alias("s"), same, "left").select(
+        "g.*", F.coalesce("agreement", F.lit(1.0)).alias("agreement"), F.coalesce("changed", F.lit(False)).alias("changed")
+    )
+
+
+def covered(groups: DataFrame) -> DataFrame:
+    enough = (F.col("n_hits") >= COVERAGE * F.col("n_windows")) & (F.col("agreement") >= CONSISTENT)
+    return groups.where(enough).select(*PAIR, "n_hits", "n_windows", "changed")
 
 
 def contaminated(
     docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: str = "item_id", text: str = "text"
 ) -> DataFrame:
     """One row per document that holds benchmark items: ``key, item_ids, n_items, n_windows,
-    coverage, reparameterised``; other documents have none."""
+    coverage, reparameterised``; other documents have none.  The figures of an item are those of
+    the whole document in the typed template if these suffice, and of its best match otherwise."""
     windows = benchmark_windows(items, item_key, text)
     pairs = materialize(candidates(docs, windows, key, text), "benchmark-candidates")
-    slots = slot_agreement(docs, windows, pairs, key, text)
-    same = pairs["doc"].eqNullSafe(slots["doc"]) & (pairs["item"] == slots["item"])
-    judged = pairs.join(slots, same, "left").select(
-        pairs["*"], F.coalesce("agreement", F.lit(1.0)).alias("agreement"), F.coalesce("changed", F.lit(False)).alias("changed")
+    hits = window_hits(docs, windows, pairs, key, text)
+    found = covered(judged(hits, PAIR)).withColumn("usual", ~F.col("folded"))
+    share = (F.col("n_hits") / F.col("n_windows")).alias("coverage")
+    caught = found.groupBy("doc", "item").agg(
+        F.max(F.struct("usual", share, "n_hits", "n_windows", "changed")).alias("x")
     )
-    caught = judged.where(F.col("agreement") >= CONSISTENT)
     return caught.groupBy(F.col("doc").alias(key)).agg(
         F.array_join(F.sort_array(F.collect_set(F.col("item").cast("string"))), ",").alias("item_ids"),
         F.count("*").alias("n_items"),
-        F.sum("n_hits").alias("n_windows"),
-        F.max(F.col("n_hits") / F.col("n_windows")).alias("coverage"),
-        F.max("changed").alias("reparameterised"),
+        F.sum("x.n_hits").alias("n_windows"),
+        F.max("x.coverage").alias("coverage"),
+        F.max("x.changed").alias("reparameterised"),
     )
 
 

@@ -78,3 +78,12 @@ def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, ITEM)], "doc_id long, text string")
     assert decontamination.contaminated(docs.limit(0), items).count() == 0
     assert decontamination.contaminated(docs, items.limit(0)).count() == 0
+
+
+def test_capitals_do_not_hide_an_item(spark):
+    items = spark.createDataFrame([(7, ITEM)], "item_id long, text string")
+    rows = [(1, ITEM.upper()), (2, ITEM.title()), (3, ITEM.lower()), (4, "NOTHING OF THE KIND " * 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in decontamination.contaminated(docs, items).collect()}
+    assert set(got) == {1, 2, 3}
+    assert not any(r["reparameterised"] for r in got.values())
