@@ -8,6 +8,8 @@ of the item's windows or more, in this template or in a second one without names
 does not depend on capitals.  Its slots are then checked: wherever windows match, a value
 of the item must stand for the same value of the document (for ``CONSISTENT`` of its uses),
 so that a question with other numbers is caught, and a form that many texts share is not.
+Where the whole document does not suffice, every occurrence of the item is judged by itself,
+so variants of an item beside it do not hide it.
 
 Everything is DataFrame expressions.  Windows of the benchmark are broadcast if their size
 allows it - then documents are not shuffled at all - and joined by a shuffle of hashes
@@ -206,6 +208,17 @@ def covered(groups: DataFrame) -> DataFrame:
     return groups.where(enough).select(*PAIR, "n_hits", "n_windows", "changed")
 
 
+def occurrences(hits: DataFrame) -> DataFrame:
+    """``hits`` once for each of two grids that tell the places of a passage in a text apart.
+
+    A place is where the passage would begin.  Copies lie a passage's length apart or more, so
+    no cell holds two of them; one that words were put into lies whole in a cell of one grid.
+    """
+    begins = (F.col("dpos") - F.col("pos")) / F.col("n_tokens")
+    grids = hits.withColumn("grid", F.explode(F.array(F.lit(0.0), F.lit(0.5))))
+    return grids.withColumn("cell", F.floor(begins + F.col("grid")))
+
+
 def contaminated(
     docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: str = "item_id", text: str = "text"
 ) -> DataFrame:
@@ -215,7 +228,13 @@ def contaminated(
     windows = benchmark_windows(items, item_key, text)
     pairs = materialize(candidates(docs, windows, key, text), "benchmark-candidates")
     hits = window_hits(docs, windows, pairs, key, text)
-    found = covered(judged(hits, PAIR)).withColumn("usual", ~F.col("folded"))
+    whole = covered(judged(hits, PAIR)).withColumn("usual", ~F.col("folded"))
+    whole = materialize(whole, "whole-documents")
+    settled = whole.select(F.col("doc").alias("__doc"), F.col("passage").alias("__passage")).distinct()
+    known = F.col("doc").eqNullSafe(F.col("__doc")) & (F.col("passage") == F.col("__passage"))
+    rest = hits.join(broadcast_if_small(settled), known, "left_anti")
+    placed = covered(judged(occurrences(rest), [*PAIR, "copy", "grid", "cell"]))
+    found = whole.unionByName(placed.withColumn("usual", F.lit(False)))
     share = (F.col("n_hits") / F.col("n_windows")).alias("coverage")
     caught = found.groupBy("doc", "item").agg(
         F.max(F.struct("usual", share, "n_hits", "n_windows", "changed")).alias("x")

@@ -87,3 +87,14 @@ def test_capitals_do_not_hide_an_item(spark):
     got = {r["doc_id"]: r for r in decontamination.contaminated(docs, items).collect()}
     assert set(got) == {1, 2, 3}
     assert not any(r["reparameterised"] for r in got.values())
+
+
+def test_variants_beside_an_item_do_not_hide_it(spark):
+    def variant(n):
+        return ITEM.replace("120", str(200 + n)).replace("60", str(70 + n)).replace("at 9", f"at {10 + n}").replace("Alice", f"Bob{n}")
+
+    items = spark.createDataFrame([(7, ITEM)], "item_id long, text string")
+    rows = [(1, " ".join([ITEM, *map(variant, range(6))])), (2, " ".join([*map(variant, range(6)), ITEM]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in decontamination.contaminated(docs, items).collect()}
+    assert set(got) == {1, 2} and all(r["coverage"] == 1.0 for r in got.values())
