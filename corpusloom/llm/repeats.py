@@ -1,17 +1,19 @@
 """Long repeats, by a difference cover: bytes of any 200-byte string that starts elsewhere too.
 
-The order of suffixes beyond ``LENGTH`` bytes is of no interest here, so the difference-cover
+A difference-cover hash match stands in for the recursion, the merge and the comparison of
+prefixes of the full construction: nothing is ranked, there is one pass, and equal hashes stand
+for equal bytes.  The order of suffixes beyond ``LENGTH`` bytes is of no interest here, so the difference-cover
 construction is cut off at that depth, and names are hashes instead of ranks.
 
 1. *Sampled tuples.*  ``COVER`` is a difference cover modulo ``MODULUS``: any two positions
    have a common shift below MODULUS that makes both sampled.  Tuples of ``TUPLE`` bytes at
    sampled positions are named, so equal strings of LENGTH = TUPLE + MODULUS - 1 bytes hold a
    pair of equal names, whatever their positions.
-2. *Recursion on names.*  Names are sorted; every position learns the first place of its
+2. *First places, instead of recursion.*  Names are sorted; every position learns the first place of its
    name.  Neighbouring samples whose first places lie at one shift are chained: a chain that
    spans a string proves that the string also starts at the first place, which is told so.
-3. *Remaining suffixes.*  A start that is no part of such a chain, but has a repeated name at
-   one of its shifts, is merged by the name of its whole string: equal neighbours in sorted
+3. *Remaining suffixes, instead of a merge.*  A start that is no part of such a chain, but has a repeated name at
+   one of its shifts, is matched by the name of its whole string: equal neighbours in sorted
    order are repeats.  Chained starts need no name there, as an earlier equal start has one.
 
 Names of a chunk of texts are sorted, made distinct, and packed before they are shuffled, a
