@@ -15,6 +15,7 @@ from corpusloom.llm.decontamination import UNITS, contaminated
 from corpusloom.llm.encoding import encode_documents
 from corpusloom.llm.neardup import near_duplicates
 from corpusloom.llm.quality import add_quality
+from corpusloom.llm.ranking import ranked_documents
 from corpusloom.llm.repeats import remove_repeats
 from corpusloom.llm.tokencounts import count_tokens
 from corpusloom.llm.toxicity import toxicity
@@ -90,6 +91,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_personal_data": op1_personal_data,
     "op2_language_id": op2_language_id,
@@ -101,6 +106,7 @@ QUERIES: dict[str, Query] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_binary_records": op9_binary_records,
     "op10_toxicity": op10_toxicity,
+    "op12_ranked_search": op12_ranked_search,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -196,5 +202,34 @@ select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as
     not base_failed and n_words_left >= 0.3 * n_words as kept,
     cast(n_lines_removed as bigint) as n_lines_removed, cast(n_words_left as bigint) as n_words_left
 from failed
+""",
+    "op12_ranked_search": r"""
+with docs as (
+    select row_number() over () as r, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as t
+    from documents),
+totals as (select count(*) as docs, sum(len(t)) as terms from docs where len(t) > 0),
+items as (
+    select item_id, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from (select distinct item_id, text from benchmark)),
+uses as (select item_id, term, count(*) as uses from items group by all),
+counts as (select r, term, count(*) as tf from (select r, unnest(t) as term from docs) group by all),
+held as (select * from counts semi join uses using (term)),
+weights as (
+    select term, cast(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) as bigint) as w
+    from held, totals group by term),
+norms as (select r, doc_id, 75 + (25 * len(t) * docs) // cast(terms as bigint) as m from docs, totals where len(t) > 0),
+scores as (
+    select item_id, doc_id, r,
+        cast(sum(uses * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) as bigint) as score
+    from uses join held using (term) join weights using (term) join norms using (r)
+    group by item_id, doc_id, r),
+ranked as (
+    select *, row_number() over (partition by item_id order by score desc, doc_id nulls last) as place
+    from scores where score > 0)
+select item_id, cast(place as integer) as rank, doc_id, score from ranked where place <= 20
 """,
 }
