@@ -14,6 +14,7 @@ from corpusloom.llm.common import table
 from corpusloom.llm.decontamination import UNITS, contaminated
 from corpusloom.llm.encoding import encode_documents
 from corpusloom.llm.neardup import near_duplicates
+from corpusloom.llm.prefixtrie import prefix_trie
 from corpusloom.llm.quality import add_quality
 from corpusloom.llm.ranking import ranked_documents
 from corpusloom.llm.repeats import remove_repeats
@@ -95,6 +96,10 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_personal_data": op1_personal_data,
     "op2_language_id": op2_language_id,
@@ -107,6 +112,7 @@ QUERIES: dict[str, Query] = {
     "op9_binary_records": op9_binary_records,
     "op10_toxicity": op10_toxicity,
     "op12_ranked_search": op12_ranked_search,
+    "op13_prefix_trie": op13_prefix_trie,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -231,5 +237,36 @@ ranked as (
     select *, row_number() over (partition by item_id order by score desc, doc_id nulls last) as place
     from scores where score > 0)
 select item_id, cast(place as integer) as rank, doc_id, score from ranked where place <= 20
+""",
+    "op13_prefix_trie": r"""
+with own as (
+    select conv_id, list({'r': r, 't': t} order by turn nulls first, r, sha256(concat(length(r), ':', r, t))) as own
+    from (select conv_id, turn, coalesce(role, '') as r, coalesce(text, '') as t from conversations where conv_id is not null)
+    group by conv_id),
+coded as (
+    select *, list_transform(string_split(cast(conv_id as varchar), ''), lambda x: cast(ascii(x) as bigint)) as codes from own),
+crcs as (
+    select conv_id, own, xor(4294967295, list_reduce(list_prepend(cast(4294967295 as bigint), codes), lambda a, b:
+        list_reduce(list_prepend(xor(a, b), range(8)), lambda x, i:
+            case when x % 2 = 1 then xor(x // 2, 3988292384) else x // 2 end))) as crc
+    from coded),
+rebuilt as (
+    select c.conv_id, list_concat(coalesce(b.own[1:cast(c.crc % 4 as bigint)], []), c.own[cast(c.crc % 4 as bigint) + 1:]) as p
+    from crcs c left join own b on b.conv_id = c.conv_id - c.conv_id % 20),
+members as (select conv_id, p[1:d] as node, d, len(p) = d as is_end from (select *, unnest(range(len(p) + 1)) as d from rebuilt)),
+nodes as (
+    select node, d, min(conv_id) as conv_id, count(*) as n_convs, case when d = 0 then 0 else
+            len(regexp_extract_all(node[d].t, '[^\x20\x09-\x0D]+')) end as words,
+        sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (where is_end), '')) as ends
+    from members group by node, d),
+children as (select node[1:d - 1] as node, count(*) as n_children from nodes where d > 0 group by all),
+whole as (select nodes.*, coalesce(n_children, 0) as n_children from nodes left join children using (node)),
+above as (select node[1:k] as node, n_children, n_convs, words from (select *, unnest(range(d + 1)) as k from whole)),
+sums as (
+    select node, count(*) filter (where n_children = 0) as n_leaves, cast(sum((n_convs - 1) * words) as bigint) as saved_tokens
+    from above group by node)
+select w.conv_id, w.d as depth, p.conv_id as parent_conv_id, w.n_convs, w.n_children, n_leaves, saved_tokens,
+    w.ends as ends_sha256
+from whole w join sums using (node) left join nodes p on w.d > 0 and p.node = w.node[1:w.d - 1]
 """,
 }
