@@ -13,6 +13,7 @@ from corpusloom.llm import langid, pii, records
 from corpusloom.llm.common import table
 from corpusloom.llm.decontamination import UNITS, contaminated
 from corpusloom.llm.encoding import encode_documents
+from corpusloom.llm.maintext import extract_main_text
 from corpusloom.llm.neardup import near_duplicates
 from corpusloom.llm.prefixtrie import prefix_trie
 from corpusloom.llm.quality import add_quality
@@ -92,6 +93,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract_main_text(pages)
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -111,6 +117,7 @@ QUERIES: dict[str, Query] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_binary_records": op9_binary_records,
     "op10_toxicity": op10_toxicity,
+    "op11_main_text": op11_main_text,
     "op12_ranked_search": op12_ranked_search,
     "op13_prefix_trie": op13_prefix_trie,
     "pipeline": corpus_pipeline.run,
