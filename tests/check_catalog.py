@@ -32,9 +32,11 @@ def difference(got: pd.DataFrame, want: pd.DataFrame) -> str | None:
         df[columns].sort_values(columns, ignore_index=True) for df in (got, want)
     )
     for column in columns:
+        if want[column].dtype == "Int64":  # integers with nulls
+            got[column] = got[column].astype("Int64")
         if got[column].dtype.kind != want[column].dtype.kind:
             return f"{column}: type {got[column].dtype} != {want[column].dtype}"
-        wrong = (got[column] != want[column]) & ~(got[column].isna() & want[column].isna())
+        wrong = (got[column] != want[column]).fillna(True) & ~(got[column].isna() & want[column].isna())
         if wrong.any():
             i = wrong.idxmax()
             return f"{column}: {int(wrong.sum())} rows, e.g. {got[column][i]!r} != {want[column][i]!r}"
