@@ -33,6 +33,8 @@ MIN_WORD_LENGTH = 3
 # the minimum length when one of them is such a letter.  Spark's word breaks drop
 # a word that begins with such a letter, so this holds for later letters only.
 _TERM_SHAPE = r"^(?:\p{L}{3,}|(?=.*[\x{10000}-\x{10FFFF}])\p{L}{2})$"
+SENTENCE_END = r"[.!?]+[ \t\n]|\n"
+SENTENCE_WORD = r"[\p{L}\p{M}]+(?:'[\p{L}\p{M}]+)*|\p{N}+"
 _NUMBER_SHAPE = r"^[\p{N}.,:%&]+$"
 
 
@@ -64,3 +66,13 @@ def mail_words(text: Column) -> Column:
 def sentence_words(text: Column) -> Column:
     """Sentences of a text, each an array of its words as written."""
     return F.sentences(text, F.lit("en"), F.lit("US"))
+
+
+def marked_sentences(text: Column) -> Column:
+    """Sentences as stops before white space and line ends mark them, each an array of its words.
+
+    Words are runs of letters, with single apostrophes between them, or runs of digits.  Unlike
+    locale breaks this is one plain pattern that other engines can follow exactly.
+    """
+    pieces = F.split(F.coalesce(text, F.lit("")), SENTENCE_END)
+    return F.filter(F.transform(pieces, lambda p: F.regexp_extract_all(p, F.lit(SENTENCE_WORD), F.lit(0))), lambda s: F.size(s) > 0)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,20 +13,26 @@ from corpusloom.functions.words import (
     KEPT_TAGS,
     PUNCTUATION_WORDS,
     mail_words,
+    sentence_words,
     terms,
 )
 from corpusloom.operators.bagofwords import HOT_WORD_ROWS, join_split
+from corpusloom.operators.lemmas import learn_rules, lemmas
 from corpusloom.operators.rowlookup import (
     LOOKUP_BYTES,
     counted_words,
     lemmatize_words,
     single_words,
 )
+from corpusloom.operators.tagging import Tagger, tag_sentences
 from corpusloom.runtime import fits_broadcast, materialize
 
 #: Tag given to words the lexicon does not know.
 UNKNOWN_TAG = "NN"
 
+#: Between a word and its class where both are looked up as one.
+_SEPARATOR = "\t"
+
 
 def tokenize(
     df: DataFrame, text: str = "text", stopwords: Iterable[str] = (), id_column: str = "id"
@@ -56,7 +62,47 @@ def tokenize_mail(
     stop = sorted(set(PUNCTUATION_WORDS).union(stopwords or ()))
     if lexicon is None:
         return words.select("id", F.filter("tokens", lambda w: ~w.isin(stop)).alias("tokens"))
-    entries = _entries(lexicon)
+    return _replaced(words, _entries(lexicon), stop, lookup_limit, broadcast_limit, hot_rows)
+
+
+def tag_mail_tokens(
+    df: DataFrame,
+    tagger: Tagger,
+    lexicon: DataFrame | None = None,
+    text: str = "contents",
+    stopwords: Iterable[str] | None = ENGLISH_STOP_WORDS,
+    id_column: str = "id",
+    sentences: Callable[[Column], Column] = sentence_words,
+    lookup_limit: int = LOOKUP_BYTES,
+    broadcast_limit: int | None = None,
+    hot_rows: int = HOT_WORD_ROWS,
+) -> DataFrame:
+    """Mail tokenizer with classes from context: ``id, tokens`` in text order.
+
+    Every word of a sentence gets its class from the tagger, the words of a kept class become
+    their lemmas - from ``lexicon(surface, lemma, tag)``, or by the rules that its endings
+    show; without a lexicon words stay as they are - and stop words are dropped last.
+    """
+    split = df.select(F.col(id_column).alias("id"), sentences(F.col(text)).alias("sentences"))
+    tagged = tag_sentences(split, tagger, lookup_limit=lookup_limit, hot_rows=hot_rows)
+    pair = F.zip_with(F.flatten("sentences"), F.flatten("tags"), lambda w, t: F.concat(F.lower(w), F.lit(_SEPARATOR), t))
+    words = materialize(tagged.select("id", pair.alias("tokens")), "tagged-words")
+    pairs = words.select(F.explode("tokens").alias("surface")).distinct()
+    parts = F.split("surface", _SEPARATOR, 2)
+    pairs = pairs.select(parts[0].alias("word"), parts[1].alias("tag"))
+    plain = pairs.withColumn("lemma", F.col("word"))
+    found = plain if lexicon is None else lemmas(pairs, lexicon, learn_rules(lexicon))
+    entries = found.select(
+        F.concat("word", F.lit(_SEPARATOR), "tag").alias("surface"), "lemma", F.col("tag").isin(*KEPT_TAGS).alias("kept")
+    )
+    stop = sorted(set(PUNCTUATION_WORDS).union(stopwords or ()))
+    return _replaced(words, materialize(entries, "tagged-lemmas"), stop, lookup_limit, broadcast_limit, hot_rows)
+
+
+def _replaced(
+    words: DataFrame, entries: DataFrame, stop: list[str], lookup_limit: int, broadcast_limit: int | None, hot_rows: int
+) -> DataFrame:
+    """``id, tokens`` with the lemmas of the kept words, in order, without stop words."""
     if fits_broadcast(entries, lookup_limit):
         found = lemmatize_words(single_words(words), entries)
         return found.select(

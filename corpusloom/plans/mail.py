@@ -16,7 +16,8 @@ from corpusloom.functions.words import ENGLISH_STOP_WORDS, PUNCTUATION_WORDS, ma
 from corpusloom.operators.bagofwords import bag_of_words
 from corpusloom.operators.dictionary import build_dictionary
 from corpusloom.operators.numbering import dense_index
-from corpusloom.operators.tokens import apply_lexicon, tokenize_mail
+from corpusloom.operators.tagging import Tagger
+from corpusloom.operators.tokens import apply_lexicon, tag_mail_tokens, tokenize_mail, word_counts
 from corpusloom.runtime import materialize
 from corpusloom.sinks import write_corpus, write_dictionary, write_metadata
 
@@ -62,9 +63,13 @@ def mail_tokens(
     lexicon: DataFrame | None = None,
     stopwords: Iterable[str] | None = ENGLISH_STOP_WORDS,
     strict: bool = False,
+    tagger: Tagger | None = None,
 ) -> DataFrame:
-    """``id, tokens`` of each message in text order."""
-    return tokenize_mail(mail_contents(documents, strict), "contents", lexicon, stopwords)
+    """``id, tokens`` of each message in text order; with a tagger, context decides what is kept."""
+    contents = mail_contents(documents, strict)
+    if tagger is not None:
+        return tag_mail_tokens(contents, tagger, lexicon, stopwords=stopwords)
+    return tokenize_mail(contents, "contents", lexicon, stopwords)
 
 
 @dataclass
@@ -87,12 +92,14 @@ def mail_job(
     stopwords: Iterable[str] | None = ENGLISH_STOP_WORDS,
     strict: bool = False,
     mode: str = "error",
+    tagger: Tagger | None = None,
 ) -> MailResult:
     """Run the job on ``path, document`` rows and write the outputs that have a path.
 
     ``mails`` may bring its own unique ``id``; otherwise the documents are
     numbered.  Only what a requested output needs is computed, and every message is
-    parsed once: what is stored, and numbered, is its metadata and its counted words.
+    parsed once: what is stored, and numbered, is its metadata and its counted words, or
+    with a ``tagger``, which needs whole sentences, its text.
     """
     result = MailResult()
     counted = dictionary is not None or corpus is not None
@@ -105,7 +112,7 @@ def mail_job(
     parsed = _messages(mails, *own).select(
         *own,
         *(column.alias(name) for name, column in columns.items()),
-        *([terms.alias("terms")] if counted else []),
+        *([terms.alias("terms") if tagger is None else _contents(strict).alias("contents")] if counted else []),
     )
     parsed = materialize(parsed, "mails") if "id" in own else dense_index(parsed)
     if metadata is not None:
@@ -113,8 +120,12 @@ def mail_job(
         result.metadata = parsed.sparkSession.read.parquet(metadata)
     if not counted:
         return result
-    counts = parsed.select("id", "terms")
-    if lexicon is not None:
+    if tagger is not None:
+        found = tag_mail_tokens(parsed.select("id", "contents"), tagger, lexicon, stopwords=stopwords)
+        counts = materialize(word_counts(found), "counts")
+    else:
+        counts = parsed.select("id", "terms")
+    if lexicon is not None and tagger is None:
         counts = materialize(apply_lexicon(counts, lexicon, stopwords), "counts")
     words = build_dictionary(counts, above, below, keep_n, above_base)
     result.dictionary = words
