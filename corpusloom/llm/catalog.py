@@ -194,10 +194,16 @@ lines as (
     where held and regexp_matches(line, '[^\x20\x09-\x0D]')),
 normal as (select r, host, text, line, trim(regexp_replace(spaced, '[0-9]', '0', 'g')) as norm from lines),
 dups as (select r, count(*) - count(distinct line) as n_dup_lines from normal group by r),
-hosts as (select host, count(distinct text) as host_docs from docs where held group by host),
+usual as (select host, norm from normal group by host, norm having count(distinct text) >= 20),
+marked as (
+    select n.*, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) as line_words, u.norm is not null as is_usual
+    from normal n left join usual u using (host, norm)),
+voters as (
+    select r from marked group by r
+    having coalesce(sum(line_words) filter (where not is_usual), 0) >= 0.3 * sum(line_words)),
 above as (
-    select host, norm from normal join hosts using (host) group by host, norm, host_docs
-    having count(distinct text) >= 20 and count(distinct text) >= 0.2 * host_docs),
+    select host, norm from marked semi join voters using (r) where is_usual
+    group by host, norm having count(distinct text) >= 20),
 gone as (
     select r, count(*) as n_lines_removed, sum(len(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))) as n_words_gone
     from normal semi join above using (host, norm) group by r),
