@@ -8,10 +8,11 @@ Texts of equal bags are one node from the start, so copies cost a row each and n
 that share a band stand in one bucket.  Buckets are not paired out:
 
 1. every member is compared to a hub of its bucket;
-2. members of small buckets that are not connected yet are compared; in large ones every
-   member is compared to the one of another component whose signature is nearest;
-3. what is left apart in large buckets is compared in blocks of bounded size, by signatures,
-   and only pairs that may be similar become rows, each in one of its buckets.
+2. members of small buckets that are not connected yet are compared in pairs;
+3. in large buckets the members outside the largest component are compared to all others, in
+   blocks of bounded size that hold signatures and bags.  A block joins what it finds alike and
+   goes on with the rest, so it gives back at most one link less than it has members, however
+   many pairs are alike; a pair is looked at in one of its buckets only.
 
 A pair is compared by signatures first, which drops pairs far below the limit, and by the
 bags themselves then.  35 bands of 6 registers miss a pair of similarity 0.8 once in 40,000
@@ -23,6 +24,8 @@ driver only gets counts.  Every step is a stored table, so a lost executor costs
 
 Null texts and texts without words are classes of their own; rows of one id and other texts
 belong to the class of each text; rows without an id take no part; empty tables give none.
+Very long texts are compared whole.  Only the columns named as ``key`` and ``text`` are read,
+so others may have any names.
 """
 
 from __future__ import annotations
@@ -47,9 +50,10 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 35, 6
 
-#: Members of a bucket up to which it is paired out, and members of a block of a larger one.
+#: Members of a bucket up to which it is paired out; members, and bytes of their bags, of a
+#: block of a larger one.
 SMALL_BUCKET = 16
-BLOCK_ROWS = 1024
+BLOCK_ROWS, BLOCK_BYTES = 1024, 16 << 20
 
 #: Signatures that agree in fewer registers are dropped: 0.8 less four standard deviations.
 ESTIMATE = 0.69
@@ -173,41 +177,6 @@ def _close_signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(close))
 
 
-def _near(best_only: bool) -> Callable[[pa.Table], pa.Table]:
-    """Pairs ``a, b`` of a block, or of two, in different components and near by signature.
-
-    With ``best_only`` every member gives its nearest one, else all pairs come, each in the
-    lowest band that the two share.
-    """
-
-    def compare(table: pa.Table) -> pa.Table:
-        nodes, comps = table["node"].to_pylist(), np.array(table["comp"].to_pylist(), object)
-        band = table["band"][0].as_py()
-        sigs = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint16).reshape(len(nodes), -1)
-        own, i, j = (table[c].to_numpy() for c in ("own", "i", "j"))
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        nearest: dict[int, tuple[float, int]] = {}
-        rows: list[tuple[bytes, bytes]] = []
-        for x in left.tolist():
-            others = right[comps[right] != comps[x]]
-            if i[0] == j[0]:
-                others = others[others > x]
-            same = sigs[others] == sigs[x]
-            share = same.mean(axis=1)
-            kept = share >= ESTIMATE
-            if not best_only:
-                shared = same[kept].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
-                rows += [(nodes[x], nodes[y]) for y in others[kept][shared == band].tolist()]
-                continue
-            for y, s in zip(others[kept].tolist(), share[kept].tolist()):
-                nearest[x] = max(nearest.get(x, (0.0, 0)), (s, y))
-                nearest[y] = max(nearest.get(y, (0.0, 0)), (s, x))
-        rows += [(nodes[x], nodes[y]) for x, (_, y) in nearest.items()]
-        return pa.table({c: pa.array([r[k] for r in rows], pa.binary()) for k, c in enumerate(("a", "b"))})
-
-    return compare
-
-
 def _unpacked(bag: bytes) -> np.ndarray:
     wide = np.zeros((len(bag) // _HASH_BYTES, 8), np.uint8)
     wide[:, :_HASH_BYTES] = np.frombuffer(bag, np.uint8).reshape(-1, _HASH_BYTES)
@@ -225,6 +194,52 @@ def overlap(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     return both, len(a) + len(b) - both
 
 
+def _overlaps(bag: tuple[np.ndarray, np.ndarray], others: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Sizes of the intersections of a multiset, as sorted values and counts, with others."""
+    value, count = bag
+    sizes = np.array([len(v) for v, _ in others])
+    theirs, n = np.concatenate([v for v, _ in others]), np.concatenate([c for _, c in others])
+    at = np.minimum(np.searchsorted(value, theirs), len(value) - 1)
+    both = np.where(value[at] == theirs, np.minimum(count[at], n), 0)
+    return np.add.reduceat(both, np.cumsum(sizes) - sizes)
+
+
+def _links(table: pa.Table) -> pa.Table:
+    """Links ``a, b`` of a block: members of ``side`` 0 with those of side 1, none twice connected.
+
+    Members of side 0 are outside the bucket's largest component.  Of two such members, which
+    meet twice, the lower one looks at the higher.
+    """
+    nodes = table["node"].to_pylist()
+    names = {name: i for i, name in enumerate(sorted(set(table["comp"].to_pylist())))}
+    label = np.array([names[c] for c in table["comp"].to_pylist()])
+    band = table["band"][0].as_py()
+    sigs = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint16).reshape(len(nodes), -1)
+    bags = [np.unique(_unpacked(b), return_counts=True) for b in table["bag"].to_pylist()]
+    size = np.array([int(n.sum()) for _, n in bags])
+    side, outside = table["side"].to_numpy(), table["outside"].to_numpy(zero_copy_only=False)
+    order = {name: i for i, name in enumerate(sorted(set(nodes)))}
+    rank = np.array([order[name] for name in nodes])
+    right = np.flatnonzero(side == 1)
+    found: list[tuple[bytes, bytes]] = []
+    for x in np.flatnonzero(side == 0).tolist():
+        fits = (label[right] != label[x]) & (~outside[right] | (rank[right] > rank[x]))
+        fits &= np.minimum(size[right], size[x]) >= SIMILARITY * np.maximum(size[right], size[x])
+        others = right[fits]
+        same = sigs[others] == sigs[x]
+        kept = same.mean(axis=1) >= ESTIMATE
+        shared = same[kept].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)  # the lowest band of both
+        others = others[kept][shared == band]
+        if not len(others):
+            continue
+        both = _overlaps(bags[x], [bags[y] for y in others.tolist()])
+        for y in others[both >= SIMILARITY * (size[others] + size[x] - both)].tolist():
+            if label[y] != label[x]:
+                found.append((nodes[x], nodes[y]))
+                label[label == label[y]] = label[x]
+    return pa.table({c: pa.array([r[k] for r in found], pa.binary()) for k, c in enumerate(("a", "b"))})
+
+
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         linked = []
@@ -299,18 +314,15 @@ class _Search:
         self.tested = new if self.tested is None else self.tested.union(new)
         return new
 
-    def compare(self, pairs: DataFrame | None, near: DataFrame | None = None) -> bool:
-        """Test pairs that are new, and keep their links; whether there were any links.
-
-        The signatures of ``near`` pairs are known to agree.
-        """
-        close = None if near is None else self._new(near)
-        if pairs is not None:
-            both = _with_both(self._new(pairs), self.sigs, "sig")
-            found = materialize(both.mapInArrow(_close_signatures, "a binary, b binary"), "close")
-            close = found if close is None else close.union(found)
-        linked = _with_both(close, self.bags, "bag").mapInArrow(_similar, "a binary, b binary")
-        links = materialize(linked, "links")
+    def compare(self, pairs: DataFrame) -> DataFrame:
+        """Links among pairs that are new."""
+        both = _with_both(self._new(pairs), self.sigs, "sig")
+        close = materialize(both.mapInArrow(_close_signatures, "a binary, b binary"), "close")
+        return _with_both(close, self.bags, "bag").mapInArrow(_similar, "a binary, b binary")
+
+    def keep(self, links: DataFrame) -> bool:
+        """Store links; whether there are any."""
+        links = materialize(links, "links")
         self.edges = links if self.edges is None else self.edges.union(links)
         return not links.isEmpty()
 
@@ -330,45 +342,53 @@ class _Search:
         mixed = mixed.where(F.col("low") != F.col("high")).select("bucket", "n", "hub")
         return placed.join(mixed, "bucket")
 
-    def in_blocks(self, placed: DataFrame, best_only: bool) -> DataFrame:
-        """Near pairs of large buckets, found in blocks, and in pairs of blocks, by signature."""
-        n_blocks = F.ceil(F.col("n") / BLOCK_ROWS).cast("int")
-        own = F.pmod(F.xxhash64("node", F.lit(1)), n_blocks).cast("int")
-        blocks = placed.select("bucket", "band", "node", "comp", own.alias("own"), n_blocks.alias("blocks"))
-        turns = F.transform(
-            F.sequence(F.lit(0), F.col("blocks") - 1),
-            lambda k: F.struct(F.least(k, F.col("own")).alias("i"), F.greatest(k, F.col("own")).alias("j")),
+    def in_blocks(self, placed: DataFrame) -> DataFrame:
+        """Links of large buckets, found in blocks of members outside the largest component and
+        blocks of all members."""
+        large = materialize(placed.where(F.col("n") > SMALL_BUCKET).select("bucket", "band", "node", "comp"), "large")
+        sized = large.join(self.bags.select("node", F.octet_length("bag").alias("bytes")), "node")
+        sizes = sized.groupBy("bucket", "comp").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+        n_blocks = lambda n, b: F.greatest(F.ceil(n / BLOCK_ROWS), F.ceil(b / BLOCK_BYTES)).cast("int")
+        top = F.max_by(F.struct("comp", "n", "bytes"), F.struct("n", "comp")).alias("top")
+        bounds = sizes.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), top).select(
+            "bucket",
+            F.col("top.comp").alias("largest"),
+            F.greatest(n_blocks(F.col("n") - F.col("top.n"), F.col("bytes") - F.col("top.bytes")), F.lit(1)).alias("n_left"),
+            n_blocks(F.col("n"), F.col("bytes")).alias("n_right"),
         )
-        met = blocks.join(self.sigs, "node").select("*", F.explode(turns).alias("t"))
-        met = met.select("bucket", "band", "node", "comp", "sig", "own", "t.i", "t.j")
-        return met.groupBy("bucket", "i", "j").applyInArrow(_near(best_only), "a binary, b binary")
+        members = large.join(bounds, "bucket").withColumn("outside", F.col("comp") != F.col("largest"))
+        own = lambda n: F.pmod(F.xxhash64("node", F.lit(1)), n).cast("int")
+        place = lambda side, i, j: F.struct(F.lit(side).alias("side"), i.alias("i"), j.alias("j"))
+        up_to = lambda n: F.sequence(F.lit(0), n - 1)
+        left = F.when(F.col("outside"), F.transform(up_to(F.col("n_right")), lambda j: place(0, own(F.col("n_left")), j)))
+        right = F.transform(up_to(F.col("n_left")), lambda i: place(1, i, own(F.col("n_right"))))
+        met = members.join(self.sigs, "node").join(self.bags, "node")
+        nothing = F.array().cast("array<struct<side:int,i:int,j:int>>")
+        met = met.select("*", F.explode(F.concat(F.coalesce(left, nothing), right)).alias("at"))
+        met = met.select("bucket", "band", "node", "comp", "outside", "sig", "bag", "at.side", "at.i", "at.j")
+        return met.groupBy("bucket", "i", "j").applyInArrow(_links, "a binary, b binary")
 
 
 def node_classes(docs: DataFrame, sketches: DataFrame, text: str = "text") -> DataFrame | None:
     """``node, comp`` of all nodes that are linked to another one."""
     search = _Search(docs, sketches, text)
     labels = None
-    for turn in ("hubs", "nearest", "rest"):
-        placed = search.labelled(labels)
-        large = placed.where(F.col("n") > SMALL_BUCKET)
-        if turn == "hubs":
-            apart = placed.where(F.col("comp") != F.col("hub.comp"))
-            found = search.compare(apart.select(F.col("node").alias("a"), F.col("hub.node").alias("b")))
-        elif turn == "nearest":
-            small = placed.where(F.col("n") <= SMALL_BUCKET).select("bucket", "node", "comp")
-            other = small.select("bucket", F.col("node").alias("b"), F.col("comp").alias("other"))
-            crossed = small.join(other, "bucket").where(F.col("comp") < F.col("other"))
-            pairs = crossed.select(F.col("node").alias("a"), "b")
-            found = search.compare(pairs, near=search.in_blocks(large, best_only=True))
-        else:
-            found = search.compare(None, near=search.in_blocks(large, best_only=False))
-        if found:
-            labels = components(search.edges)
+    placed = search.labelled(labels)
+    apart = placed.where(F.col("comp") != F.col("hub.comp"))
+    if search.keep(search.compare(apart.select(F.col("node").alias("a"), F.col("hub.node").alias("b")))):
+        labels = components(search.edges)
+    placed = search.labelled(labels)
+    small = placed.where(F.col("n") <= SMALL_BUCKET).select("bucket", "node", "comp")
+    other = small.select("bucket", F.col("node").alias("b"), F.col("comp").alias("other"))
+    crossed = small.join(other, "bucket").where(F.col("comp") < F.col("other"))
+    links = search.compare(crossed.select(F.col("node").alias("a"), "b"))
+    if search.keep(links.unionByName(search.in_blocks(placed))):
+        labels = components(search.edges)
     return labels
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, class_id`` of every row that has an id; stored in the scratch folder."""
+def _row_classes(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``key, node, comp, class_id`` of every row that has an id; stored in the scratch folder."""
     rows = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     sketches = rows.mapInArrow(_sketches, "key long, node binary, bands array<long>, sig binary")
     sketches = materialize(sketches, "sketches")
@@ -376,25 +396,49 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     # one row per class of equal bags before anything is joined, so copies make no hot key
     firsts = sketches.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("key").alias("first"))
     if labels is None:
-        classes = firsts.select("node", F.col("first").alias("class_id"))
+        classes = firsts.select("node", F.col("node").alias("comp"), F.col("first").alias("class_id"))
     else:
         named = materialize(firsts.join(labels, "node", "left").select("node", F.coalesce("comp", "node").alias("comp"), "first"), "named")
         lowest = named.groupBy("comp").agg(F.min("first").alias("class_id"))
-        classes = named.join(lowest, "comp").select("node", "class_id")
+        classes = named.join(lowest, "comp").select("node", "comp", "class_id")
     found = sketches.select("key", "node").join(classes, "node", "left")
-    return materialize(found.select(F.col("key").alias(key), F.coalesce("class_id", "key").alias("class_id")), "classes")
+    return materialize(found.select("key", "node", "comp", F.coalesce("class_id", "key").alias("class_id")), "classes")
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key, class_id`` of every row that has an id."""
+    return _row_classes(docs, key, text).select(F.col("key").alias(key), "class_id")
+
+
+def _named_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in sliced(batches, 1):
+        owner, value = shingles(batch.column(1))
+        nodes = pa.array(_nodes(owner, value, batch.num_rows), pa.binary())
+        yield pa.RecordBatch.from_arrays([*batch.columns, nodes], ["key", "text", "node"])
 
 
 def without_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row of each class, that of its lowest id; rows without an id stay, and so
-    do other texts of that id."""
-    classes = near_duplicates(docs, key, text)
-    gone = materialize(classes.where(F.col(key) != F.col("class_id")).select(F.col(key).alias("__gone")).distinct(), "gone")
-    kept = docs.join(broadcast_if_small(gone), F.col(key) == F.col("__gone"), "left_anti")
-    again = docs.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__again")).count().where("count > 1")
+    """``docs`` with one row of each class, that of its lowest id; rows without an id stay.
+
+    Of an id with several texts each text is judged by itself, and equal rows are one.
+    """
+    classes = _row_classes(docs, key, text)
+    again = docs.where(F.col(key).isNotNull()).groupBy(F.col(key).cast("long").alias("__again")).count().where("count > 1")
     again = materialize(again.select("__again"), "repeated-ids")
+    marked = broadcast_if_small(again)
+    single = classes.where(F.col("key") != F.col("class_id")).join(marked, F.col("key") == F.col("__again"), "left_anti")
+    gone = materialize(single.select(F.col("key").alias("__gone")), "gone")
+    kept = docs.join(broadcast_if_small(gone), F.col(key) == F.col("__gone"), "left_anti")
     if again.isEmpty():
         return kept
-    marked = broadcast_if_small(again)
-    one = kept.join(marked, F.col(key) == F.col("__again"), "left_semi").dropDuplicates([key, text])
+    rows = kept.join(marked, F.col(key) == F.col("__again"), "left_semi")
+    texts = rows.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).distinct()
+    named = texts.mapInArrow(_named_nodes, "key long, text string, node binary")
+    first = classes.where(F.col("key") == F.col("class_id")).select(F.col("key").alias("k"), F.col("node").alias("n"), "comp").distinct()
+    held = named.join(first, (F.col("key") == F.col("k")) & F.col("node").eqNullSafe(F.col("n")))
+    alone = F.when(F.col("node").isNull(), F.struct("text"))  # texts without words are classes of their own
+    chosen = held.groupBy(F.col("key").alias("__key"), "comp", alone.alias("alone")).agg(F.min("text").alias("__text"))
+    chosen = materialize(chosen.select("__key", "__text"), "chosen")
+    here = (F.col(key) == F.col("__key")) & F.col(text).eqNullSafe(F.col("__text"))
+    one = rows.join(broadcast_if_small(chosen), here, "left_semi").dropDuplicates([key, text])
     return kept.join(marked, F.col(key) == F.col("__again"), "left_anti").unionByName(one)

@@ -112,6 +112,53 @@ def test_large_buckets_are_compared_in_blocks(spark, monkeypatch):
     assert got == want
 
 
+def test_blocks_give_forests(spark, monkeypatch):
+    """However many pairs are alike, links found in a block are fewer than its members."""
+    monkeypatch.setattr(neardup, "SMALL_BUCKET", 3)
+    plain = neardup._links
+
+    def counted(table):
+        found = plain(table)
+        assert found.num_rows < len(set(table["node"].to_pylist()))
+        return found
+
+    monkeypatch.setattr(neardup, "_links", counted)
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(100)]
+    rows = []
+    for i in range(120):
+        copy = base[:]
+        for at in rng.sample(range(100), 2):
+            copy[at] = f"x{i}.{at}"
+        rows.append((i, " ".join(copy)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["class_id"] for r in neardup.near_duplicates(docs).collect()} == brute_force(rows)
+
+
+def test_long_bags_make_more_blocks(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "SMALL_BUCKET", 2)
+    monkeypatch.setattr(neardup, "BLOCK_BYTES", 5000)
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(40):
+        copy = base[:]
+        for _ in range(rng.randrange(4, 9)):
+            copy[rng.randrange(300)] = f"x{rng.randrange(9999)}"
+        rows.append((i, " ".join(copy)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["class_id"] for r in neardup.near_duplicates(docs).collect()} == brute_force(rows)
+
+
+def test_texts_of_one_id_are_judged_by_themselves(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    near = a.replace("a7 ", "z7 ")
+    rows = [(3, a), (5, a), (5, b), (7, b), (7, c), (3, near), (7, None), (7, ""), (7, None), (9, near), (11, "d e f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in neardup.without_duplicates(docs).collect()]
+    assert sorted(kept, key=str) == sorted([(3, min(a, near)), (5, b), (7, c), (7, None), (7, ""), (11, "d e f")], key=str)
+
+
 def test_query_equals_all_pairs(spark, sf_dir):
     got = {r["doc_id"]: r["class_id"] for r in QUERIES["op5_near_duplicates"](spark, sf_dir).collect()}
     rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
