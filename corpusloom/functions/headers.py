@@ -41,6 +41,11 @@ DATE_PATTERN = (
 )
 MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 WEEKDAYS = ("Sun", "Mon", "Tue", "Wed", "Thu", "Fri", "Sat")
+#: Charsets of one byte a character that mails are decoded from, beside ISO-8859-1.
+SINGLE_BYTE_CHARSETS = (
+    "windows-1250", "windows-1251", "windows-1252", "windows-1253", "windows-1254", "windows-1257", "iso-8859-2",
+    "iso-8859-5", "iso-8859-7", "iso-8859-9", "iso-8859-15", "koi8-r", "koi8-u",
+)
 # --- end of fixed values -----------------------------------------------------
 
 
@@ -86,13 +91,23 @@ def unfold(value: Column) -> Column:
     return F.regexp_replace(value, F.lit(rf"{_LINE_END}[ \t]+"), F.lit(" "))
 
 
+def _high_half(charset: str) -> str:
+    """Characters of the bytes 80 to FF in a charset of single bytes; those it lacks stay as they are."""
+    return "".join(bytes([i]).decode(charset, "ignore") or chr(i) for i in range(0x80, 0x100))
+
+
+def known_charset(charset: Column) -> Column:
+    return F.coalesce(_decoded(F.lit(b""), charset).isNotNull(), F.lit(False))
+
+
 def _decoded(raw: Column, charset: Column) -> Column:
     """Bytes as text; null for a charset that is not one of the common ones."""
-    name = F.lower(charset)
-    return (
-        F.when(name.isin("utf-8", "utf8", "us-ascii", "ascii"), F.make_valid_utf8(raw.cast("string")))
-        .when(name.isin("iso-8859-1", "latin1", "windows-1252"), F.decode(raw, "ISO-8859-1"))
-        .otherwise(F.lit(None))
+    name = F.regexp_replace(F.lower(charset), F.lit("[-_ ]"), F.lit(""))
+    latin = "".join(map(chr, range(0x80, 0x100)))
+    halves = {"iso88591": latin, "latin1": latin} | {c.replace("-", ""): _high_half(c) for c in SINGLE_BYTE_CHARSETS}
+    half = F.try_element_at(F.create_map(*(F.lit(x) for pair in halves.items() for x in pair)), name)
+    return F.when(name.isin("utf8", "usascii", "ascii"), F.make_valid_utf8(raw.cast("string"))).otherwise(
+        F.call_function("translate", F.decode(raw, "ISO-8859-1"), F.lit(latin), half)
     )
 
 
@@ -112,6 +127,23 @@ def _quoted_text(encoded: Column, charset: Column) -> Column:
     return _decoded(F.unhex(F.array_join(raw, "")), charset)
 
 
+def quoted_printable_text(encoded: Column, charset: Column) -> Column:
+    """Text of a quoted-printable body; null for an unknown charset.
+
+    A line that ends with ``=`` goes on in the next one, blanks before a line's end do not count,
+    and what is no escape stays.
+    """
+    soft = F.regexp_replace(encoded, F.lit(rf"[ \t]++(?={_LINE_END}|$)"), F.lit(""))
+    whole = F.regexp_replace(soft, F.lit(rf"={_LINE_END}"), F.lit(""))
+    pieces = F.regexp_extract_all(whole, F.lit("((?:=[0-9A-Fa-f]{2})++|[^=]++|=)"), F.lit(1))
+
+    def text(piece: Column) -> Column:
+        escaped = (F.length(piece) > 2) & piece.startswith("=")
+        return F.when(escaped, _decoded(F.unhex(F.replace(piece, F.lit("="), F.lit(""))), charset)).otherwise(piece)
+
+    return F.when(known_charset(charset), F.array_join(F.transform(pieces, text), ""))
+
+
 def decode_words(value: Column) -> Column:
     """Replace encoded words ``=?charset?B or Q?...?=`` by their text; others stay.
 

@@ -10,6 +10,7 @@ from corpusloom.functions.headers import (
     base64_text,
     header_fields,
     header_value,
+    quoted_printable_text,
     split_message,
     unfold,
 )
@@ -21,9 +22,7 @@ END_OF_HEADER = r"\n{2}|\r{2}|(\n\r){2}|(\r\n){2}"
 # --- end of fixed values ------------------------------------------------------
 
 _BOUNDARY_PARAMETER = r'(?i);\s*boundary\s*=\s*(?:"([^"]*)"|([^\s;"]+))'
-_NESTED_BOUNDARY = (
-    r"(?im)^content-type:\s*multipart/[^\r\n]*(?:(?>\r\n|\n|\r)[ \t][^\r\n]*)*+"
-)
+_NESTED = r"(?im)^content-type:\s*multipart/"
 _EPILOGUE = "\r\nContent-Type: epilogue/none\r\n\r\n"
 
 
@@ -61,20 +60,34 @@ def _replacement(literal: Column) -> Column:
     return F.replace(F.replace(literal, F.lit("\\"), F.lit("\\\\")), F.lit("$"), F.lit("\\$"))
 
 
-def _leaf(part: Column) -> Column:
-    """``struct<kind, attached, content>`` of one part of a multipart body."""
+def _part(text: Column, path: Column) -> Column:
+    """``struct<path, kind, attached, boundary, content>`` of one part of a multipart body.
+
+    A multipart's content stays as it is, as its parts are still to be taken out of it.
+    """
 
     def described(pieces: Column) -> Column:
-        return let(
-            header_fields(F.get(pieces, F.lit(0))),
-            lambda fields: F.struct(
-                media_type(fields).alias("kind"),
-                _attached(fields).alias("attached"),
-                _transferred(fields, F.coalesce(F.get(pieces, F.lit(1)), F.lit(""))).alias("content"),
-            ),
-        )
+        body = F.coalesce(F.get(pieces, F.lit(1)), F.lit(""))
+        return let(header_fields(F.get(pieces, F.lit(0))), lambda fields: _described(fields, body, path))
 
-    return let(split_message(part), described)
+    return let(split_message(text), described)
+
+
+def _described(fields: Column, body: Column, path: Column) -> Column:
+    kind = media_type(fields)
+    several = kind.startswith("multipart/")
+    # Without a boundary parameter the first delimiter-like line tells it.
+    boundary = F.coalesce(
+        F.nullif(_boundary(unfold(header_value(fields, "content-type"))), F.lit("")),
+        F.nullif(F.regexp_extract(body, r"(?m)^--([^\r\n]*\S)\s*$", 1), F.lit("")),
+    )
+    return F.struct(
+        path.alias("path"),
+        kind.alias("kind"),
+        _attached(fields).alias("attached"),
+        F.when(several, F.coalesce(boundary, F.lit(""))).alias("boundary"),
+        F.when(several, body).otherwise(_transferred(fields, body)).alias("content"),
+    )
 
 
 def _attached(fields: Column) -> Column:
@@ -83,12 +96,16 @@ def _attached(fields: Column) -> Column:
 
 
 def _transferred(fields: Column, content: Column) -> Column:
-    """Content as it was before a base64 transfer; what cannot be decoded stays."""
+    """Content as it was before its transfer; what cannot be decoded stays."""
     encoding = F.lower(F.trim(F.coalesce(header_value(fields, "content-transfer-encoding"), F.lit(""))))
     declared = F.coalesce(unfold(header_value(fields, "content-type")), F.lit(""))
     charset = F.nullif(F.regexp_extract(declared, r"(?i);\s*charset\s*=\s*\"?([^\s;\"]+)", 1), F.lit(""))
-    text = base64_text(content, F.coalesce(charset, F.lit("us-ascii")))
-    return F.when(encoding == "base64", F.coalesce(text, content)).otherwise(content)
+    charset = F.coalesce(charset, F.lit("us-ascii"))
+    return (
+        F.when(encoding == "base64", F.coalesce(base64_text(content, charset), content))
+        .when(encoding == "quoted-printable", F.coalesce(quoted_printable_text(content, charset), content))
+        .otherwise(content)
+    )
 
 
 def media_type(fields: Column) -> Column:
@@ -102,41 +119,42 @@ def _first_content(parts: Column, kind: str) -> Column:
     return F.get(wanted, F.lit(0))["content"]
 
 
-def _multipart_text(content_type: Column, body: Column) -> Column:
-    # Without a boundary parameter the first delimiter-like line tells it.
-    own = F.coalesce(
-        F.nullif(_boundary(content_type), F.lit("")),
-        F.nullif(F.regexp_extract(body, r"(?m)^--([^\r\n]*\S)\s*$", 1), F.lit("")),
-    )
-    nested = F.filter(
-        F.transform(F.regexp_extract_all(body, F.lit(_NESTED_BOUNDARY), F.lit(0)), _boundary),
-        lambda b: b != "",
-    )
-    outer = F.slice(_split_part(body, own), 2, 2_000_000_000)  # without the preamble
-    pieces = F.aggregate(
-        nested, outer, lambda parts, b: F.flatten(F.transform(parts, lambda p: _split_part(p, b)))
-    )
-    return let(
-        F.transform(pieces, _leaf),
-        lambda parts: F.coalesce(
-            _first_content(parts, "text/plain"), _first_content(parts, "text/html"), F.lit("")
-        ),
-    )
+_PARTS = "array<struct<path:string,kind:string,attached:boolean,boundary:string,content:string>>"
+
+
+def mail_parts(fields: Column, body: Column) -> Column:
+    """All parts of a message that hold no parts themselves, in order, with their place in its tree.
+
+    ``array<struct<path, kind, attached, boundary, content>>``; ``path`` is like ``1.2``: the
+    second part of the first part of the message, which is ``""``.  Every multipart is split at
+    the boundary that its own header declares, level by level, so a boundary counts for the part
+    it belongs to only, and a forwarded message is one part.  Levels are not more than the
+    content types of multiparts that the body holds.
+    """
+
+    def taken_out(part: Column) -> Column:
+        pieces = F.slice(_split_part(part["content"], part["boundary"]), 2, 2_000_000_000)  # without the preamble
+        prefix = F.when(part["path"] == "", "").otherwise(F.concat(part["path"], F.lit(".")))
+        inner = F.transform(pieces, lambda p, i: _part(p, F.concat(prefix, (i + 1).cast("string"))))
+        return F.when(F.coalesce(part["boundary"], F.lit("")) == "", F.array(part).cast(_PARTS)).otherwise(inner.cast(_PARTS))
+
+    whole = F.array(_described(fields, F.coalesce(body, F.lit("")), F.lit(""))).cast(_PARTS)
+    levels = F.sequence(F.lit(0), F.regexp_count(F.coalesce(body, F.lit("")), F.lit(_NESTED)))
+    return F.aggregate(levels, whole, lambda parts, _: F.flatten(F.transform(parts, taken_out)).cast(_PARTS))
 
 
 def body_text(fields: Column, body: Column) -> Column:
     """Text of a message: its first plain-text part, else its first HTML part, else ``""``."""
     body = F.coalesce(body, F.lit(""))
     kind = media_type(fields)
+    in_parts = let(
+        mail_parts(fields, body),
+        lambda parts: F.coalesce(_first_content(parts, "text/plain"), _first_content(parts, "text/html"), F.lit("")),
+    )
     return (
         F.when(_attached(fields), F.lit(""))
         .when(kind.isin("text/plain", "text/html"), _transferred(fields, body))
-        .when(
-            kind.startswith("multipart/"),
-            F.coalesce(
-                _multipart_text(unfold(header_value(fields, "content-type")), body), F.lit("")
-            ),
-        )
+        .when(kind.startswith("multipart/"), in_parts)
         .otherwise(F.lit(""))
     )
 
