@@ -9,6 +9,9 @@ from corpusloom.functions.arrays import explode_values
 from corpusloom.operators.numbering import dense_index
 from corpusloom.runtime import materialize
 
+#: Bits of a weight that one pass of a selection looks at.
+DIGIT = 16
+
 
 def distinct_tokens(tokens: DataFrame) -> DataFrame:
     """Distinct words of every document: ``id, tokens``."""
@@ -86,11 +89,48 @@ def build_dictionary(
 def top_words(words: DataFrame, weight: str, n: int = -1) -> DataFrame:
     """Number words by falling ``weight``, then by word, and keep the first ``n``.
 
-    ``n = -1`` keeps all.  The order comes from a range-partitioned sort, so no
-    task ever sees more than its range, however large ``n`` is.
+    ``n = -1`` keeps all.  The ``n`` words are selected before anything is sorted; their order
+    comes from a range-partitioned sort, so no task ever sees more than its range, however
+    large ``n`` is.
+    """
+    kept = words if n < 0 else highest(materialize(words, "words"), weight, n)
+    return dense_index(kept, F.desc(weight), F.asc("word"), name="id", kind="int")
+
+
+def lowest_kept(words: DataFrame, weight: str, n: int) -> tuple[int, int] | None:
+    """The weight of the ``n``-th word by falling weight, and how many weigh more.
+
+    None if there are fewer words.  The weight is found digit by digit, from the highest, by
+    counts of the words that share the digits so far; a digit has ``DIGIT`` bits, so that many
+    counts at most come to the driver.  Weights must not be negative.
     """
-    numbered = dense_index(words, F.desc(weight), F.asc("word"), name="id", kind="int")
-    return numbered if n < 0 else numbered.where(F.col("id") < n)
+    n_words, largest = words.agg(F.count(F.lit(1)), F.max(weight)).first()
+    if n_words <= n:
+        return None
+    above, prefix = 0, 0
+    for shift in range(largest.bit_length() // DIGIT * DIGIT, -1, -DIGIT):
+        rest = F.col(weight).cast("long")
+        same = words.where(F.shiftright(rest, shift + DIGIT) == prefix) if shift + DIGIT < 64 else words
+        digit = F.shiftright(rest, shift).bitwiseAND(F.lit((1 << DIGIT) - 1))
+        counts = sorted(same.groupBy(digit.alias("digit")).count().collect(), reverse=True)
+        for value, count in counts:
+            if above + count >= n:
+                prefix = (prefix << DIGIT) + value
+                break
+            above += count
+    return prefix, above
+
+
+def highest(words: DataFrame, weight: str, n: int) -> DataFrame:
+    """The ``n`` words of the highest ``weight``, ties by word; only the ties are sorted."""
+    if n == 0:
+        return words.limit(0)
+    found = lowest_kept(words, weight, n)
+    if found is None:
+        return words
+    lowest, above = found
+    ties = dense_index(words.where(F.col(weight) == lowest), F.asc("word"), name="__tie").where(F.col("__tie") < n - above)
+    return words.where(F.col(weight) > lowest).unionByName(ties.drop("__tie"))
 
 
 def vocabulary(
