@@ -1,4 +1,4 @@
-"""Queries of nested, quoted-printable and otherwise encoded mails, with explicit expectations.
+"""Queries of nested, quoted-printable and otherwise encoded mails, and of their Avro table.
 
 Mails are composed from ``conversations`` by SQL that reads the same in Spark and in the
 checking engine; the SQL of a query is the text that a reader should find.
@@ -10,9 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import inputs
-from catalog.spark_queries import Query, joined
+from catalog.oracle_queries import ORACLE as OTHERS
+from catalog.spark_queries import Query, joined, message_metadata
+from corpusloom import sinks, sources
 from corpusloom.functions.mime import body_text, mail_parts
 from corpusloom.plans import extract_messages
+from corpusloom.runtime import scratch_path
 
 NL, CRLF = inputs.NL, inputs.CRLF
 
@@ -82,7 +85,17 @@ def mail_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _messages(spark, sf_dir, NESTED_MAIL).select("id", joined(shown, "|").alias("parts"))
 
 
+def metadata_avro(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metadata table as Avro files, written and read."""
+    path = scratch_path(spark, "metadata-avro")
+    sinks.write_metadata(message_metadata(spark, sf_dir), path, "avro")
+    stored = sources.read_avro(spark, path)
+    lists = (joined(c, "|").alias(f"{c}_list") for c in ("to", "cc", "bcc", "references"))
+    return stored.select("id", "path", "message_id", "date", F.col("from").alias("sender"), "subject", *lists)
+
+
 QUERIES: dict[str, Query] = {
+    "metadata_avro": metadata_avro,
     "email_body_nested": bodies(NESTED_MAIL),
     "email_body_quoted_printable": bodies(QUOTED_MAIL),
     "mail_tree": mail_tree,
@@ -90,6 +103,7 @@ QUERIES: dict[str, Query] = {
 
 _KEY = inputs.CONVERSATION_KEY
 ORACLE: dict[str, str] = {
+    "metadata_avro": OTHERS["metadata_table"],
     "email_body_nested": f"select {_KEY} as id, {NESTED_TEXT} as contents from conversations",
     "email_body_quoted_printable": f"select {_KEY} as id, {QUOTED_TEXT} as contents from conversations",
     "mail_tree": f"select {_KEY} as id, '1 message/rfc822|2.1.1 text/html|2.1.2 ' || case when conv_id % 3 = 0"

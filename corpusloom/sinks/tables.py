@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from corpusloom.sinks.avro import write_avro
+
 
 def write_metadata(metadata: DataFrame, path: str, fmt: str = "parquet", mode: str = "error") -> None:
-    """Metadata table; ``fmt="avro"`` works where Spark's Avro module is deployed."""
+    """Metadata table in a format of Spark's, or with ``fmt="avro"`` as Avro container files."""
+    if fmt == "avro":
+        write_avro(metadata, path, mode, name="EmailMetadata")
+        return
     metadata.write.format(fmt).mode(mode).save(path)
 
 

@@ -1,5 +1,6 @@
 """Readers: mails and texts, corpus files, stop words."""
 
+from corpusloom.sources.avro import read_avro
 from corpusloom.sources.corpus import (
     read_corpus,
     read_corpus_header,
@@ -15,6 +16,7 @@ from corpusloom.sources.mail import (
 from corpusloom.sources.words import read_dictionary, read_stopwords
 
 __all__ = [
+    "read_avro",
     "read_corpus",
     "read_corpus_header",
     "read_dictionary",
