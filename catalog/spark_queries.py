@@ -276,15 +276,14 @@ def corpus_foreign(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "corpus-foreign")
     back = lambda c: joined(F.reverse(c), ",")
     corpus, words = doc_corpus(spark, sf_dir)
-    rows = corpus.select(F.concat_ws(";", F.col("id").cast("string"), back("words"), back("counts")).alias("value"))
-    rows = materialize(rows, "foreign")
-    head = spark.createDataFrame([("made by hand; see 1;2;3",), (f"{words.count()} {rows.count()}",)], "value string")
-    head.coalesce(1).write.text(path)
-    rows.write.mode("append").text(path + "-rows")
-    # one file in front of the part files of the rows
-    first = spark.read.text(path).coalesce(1).unionByName(spark.read.text(path + "-rows")).coalesce(1)
-    first.write.text(path + "-all")
-    return arrays_as_text(sources.read_corpus(spark, path + "-all"))
+    line = F.concat_ws(";", F.col("id").cast("string"), back("words"), back("counts"))
+    rows = materialize(corpus.select(F.col("id").alias("at"), line.alias("value")), "foreign")
+    head = [(0, -1, "made by hand; see 1;2;3"), (1, -1, f"{words.count()} {rows.count()}")]
+    head = spark.createDataFrame(head, "rank int, at long, value string")
+    # sorted ranges, the two lines at the beginning of the first one
+    whole = rows.select(F.lit(2).alias("rank"), F.col("at"), "value").unionByName(head)
+    whole.orderBy("rank", "at").select("value").write.text(path)
+    return arrays_as_text(sources.read_corpus(spark, path))
 
 
 def corpus_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -340,3 +340,20 @@ def test_plans_shuffle_once_and_stay_in_the_jvm(spark, sf_dir):
 
     plan = physical_plan(bagofwords.collect_corpus(bagofwords.bow_entries(stored, words)))
     assert plan.count("Exchange hashpartitioning") == 1 and "Exchange hashpartitioning(id#" in plan
+
+
+@pytest.mark.parametrize("split", ["1k", "128m"])
+def test_rows_that_read_like_the_first_line_stay(spark, split):
+    """Headers are told by their place, in files of one split and of many."""
+    rows = [f"{i};1,2;{i % 9 + 1},1" for i in range(300)]
+    path = write_lines(spark, [rows[7], "3 300", *rows])
+    entries = [f"{i + 1} {i % 5 + 1} 2" for i in range(300)]
+    matrix = write_lines(spark, [entries[0], "% note", entries[3], "%", *entries])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        assert sorted(r.id for r in sources.read_corpus(spark, path).collect()) == list(range(300))
+        found = sources.read_matrix_market(spark, matrix).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted((r.id, r.words, r.counts) for r in found) == [(i, [i % 5], [2.0]) for i in range(300)]
