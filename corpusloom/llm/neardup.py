@@ -31,7 +31,7 @@ so others may have any names.
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -53,7 +53,7 @@ BANDS, ROWS = 35, 6
 #: Members of a bucket up to which it is paired out; members, and bytes of their bags, of a
 #: block of a larger one.
 SMALL_BUCKET = 16
-BLOCK_ROWS, BLOCK_BYTES = 1024, 16 << 20
+BLOCK_ROWS, BLOCK_BYTES = 1024, 4 << 20
 
 #: Signatures that agree in fewer registers are dropped: 0.8 less four standard deviations.
 ESTIMATE = 0.69
@@ -61,8 +61,9 @@ ESTIMATE = 0.69
 #: Labels of a task, where there are few.
 PART_ROWS = 200_000
 
-#: Shingles whose points a worker makes at once.
-GROUP_SHINGLES = 200_000
+#: Shingles whose points a worker makes at once, and bytes of text that it takes up at once.
+GROUP_SHINGLES = 100_000
+SLICE_BYTES = 2 << 20
 
 _U = np.uint64
 _HASH_BYTES = 6  # of a shingle, in stored bags
@@ -132,7 +133,7 @@ def _nodes(owner: np.ndarray, value: np.ndarray, n: int) -> list[bytes | None]:
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``key, node, bands, sig``; the short signature keeps 16 bits of a register."""
-    for batch in sliced(batches, 1):
+    for batch in sliced(batches, 1, SLICE_BYTES):
         n = batch.num_rows
         owner, value = shingles(batch.column(1))
         nodes = _nodes(owner, value, n)
@@ -153,7 +154,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``node, bag``: sorted shingles, each as often as it occurs, a few bytes each; copies
     within a slice are left out."""
-    for batch in sliced(batches, 0):
+    for batch in sliced(batches, 0, SLICE_BYTES):
         n = batch.num_rows
         owner, value = shingles(batch.column(0))
         nodes = _nodes(owner, value, n)
@@ -411,7 +412,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def _named_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in sliced(batches, 1):
+    for batch in sliced(batches, 1, SLICE_BYTES):
         owner, value = shingles(batch.column(1))
         nodes = pa.array(_nodes(owner, value, batch.num_rows), pa.binary())
         yield pa.RecordBatch.from_arrays([*batch.columns, nodes], ["key", "text", "node"])
