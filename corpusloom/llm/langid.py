@@ -34,6 +34,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 UNKNOWN = "und"
 SAMPLE_ROWS = 500
+#: Range of the hashed ids that a share of a language is taken from; a share of 500 rows is
+#: above zero up to 4 * 10 ** 18 documents.
+HASHES = 1 << 53
 SAMPLE_SEGMENTS = 4
 SEGMENT = 128
 HIDDEN = 8
@@ -238,6 +241,11 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(found, pa.binary())], ["lang", "part"])
 
 
+def share(rows: int, n: int) -> int:
+    """How many of ``HASHES`` take about ``rows`` of ``n`` rows, one at least."""
+    return -(-HASHES * min(rows, n) // n)
+
+
 def fit(
     docs: DataFrame,
     usable: Callable[[Column], Column] = lambda key: F.lit(True),
@@ -254,8 +262,8 @@ def fit(
     # a share of each language by hashed id: all of a rare one, about ``rows`` of a common one
     rate = F.lit(0)
     for name, n in counts:
-        rate = F.when(F.col(lang) == name, int(min(1.0, rows / n) * (1 << 20))).otherwise(rate)
-    chosen = known.where(F.pmod(F.xxhash64(key), F.lit(1 << 20)) < rate)
+        rate = F.when(F.col(lang) == name, share(rows, n)).otherwise(rate)
+    chosen = known.where(F.pmod(F.xxhash64(key), F.lit(HASHES)) < rate)
     parts = chosen.select(F.col(lang).alias("lang"), F.col(text).alias("text")).mapInArrow(
         _segments, "lang string, part binary"
     )

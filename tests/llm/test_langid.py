@@ -86,3 +86,11 @@ def test_edge_cases(spark):
     assert {r["lang_pred"] for r in langid.predict(docs, None).collect()} == {"und"}
     empty = spark.createDataFrame([], schema)
     assert langid.fit(empty) is None and langid.predict(empty, None).count() == 0
+
+
+def test_share_of_common_languages(spark):
+    sizes = (1, 500, 501, 10**6, 524_288_001, 10**12, 10**18)
+    taken = [langid.share(500, n) for n in sizes]
+    assert taken[:2] == [langid.HASHES] * 2 and taken == sorted(taken, reverse=True) and taken[-1] > 0
+    ids = spark.range(200_000).select(F.pmod(F.xxhash64("id"), F.lit(langid.HASHES)).alias("h"))
+    assert 400 < ids.where(F.col("h") < langid.share(500, 200_000)).count() < 600
