@@ -18,7 +18,7 @@ candidates are read a second time, for their slots.
 
 Null texts count as empty.  Items of fewer than ``WINDOW`` tokens, or of placeholders only,
 have no windows and match nothing.  Rows of one id count as one document, items of one id as
-one item.  Empty tables give an empty result.
+one item, which every text of it stands for.  Empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -90,9 +90,9 @@ def _starts(tokens: Column) -> Column:
 
 
 def passages(items: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
-    """``item, passage, text``: the texts of all items."""
-    one = items.groupBy(F.col(key).alias("item")).agg(F.max(text).alias("text"))
-    return one.select("item", F.xxhash64(F.col("item").cast("string"), "text").alias("passage"), "text")
+    """``item, passage, text``: the texts of all items, several of one item among them."""
+    texts = items.select(F.col(key).alias("item"), F.col(text).alias("text")).distinct()
+    return texts.select("item", F.xxhash64(F.col("item").cast("string"), "text").alias("passage"), "text")
 
 
 def benchmark_windows(items: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:

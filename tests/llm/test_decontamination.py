@@ -98,3 +98,16 @@ def test_variants_beside_an_item_do_not_hide_it(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r["doc_id"]: r for r in decontamination.contaminated(docs, items).collect()}
     assert set(got) == {1, 2} and all(r["coverage"] == 1.0 for r in got.values())
+
+
+def test_every_text_of_an_item_counts(spark):
+    other = "The baker sells 12 loaves in the morning and 30 more after noon, how many loaves are sold in the whole day?"
+    docs = spark.createDataFrame(
+        [(1, "Some words before. " + ITEM + " Behind."), (2, "Some words before. " + other + " Behind."), (3, "nothing of the kind " * 9)],
+        "doc_id long, text string",
+    )
+    for texts in ([ITEM, other], [other, ITEM], [ITEM, other, None, "", other]):
+        items = spark.createDataFrame([(7, t) for t in texts], "item_id long, text string")
+        got = {r["doc_id"]: r for r in decontamination.contaminated(docs, items).collect()}
+        assert set(got) == {1, 2}
+        assert all(r["item_ids"] == "7" and r["n_items"] == 1 and r["coverage"] == 1.0 for r in got.values())
