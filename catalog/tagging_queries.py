@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from catalog import inputs
 from catalog.oracle_queries import STOP
 from catalog.spark_queries import Query, benchmark_lexicon, joined
+from corpusloom.functions.arrays import explode_values
 from corpusloom.functions.words import KEPT_TAGS, PUNCTUATION_WORDS, SENTENCE_END, SENTENCE_WORD, broken_words, marked_sentences
 from corpusloom.operators import tokens
 from corpusloom.operators.lemmas import ANY_TAG, learn_rules, lemmas
@@ -50,7 +51,7 @@ def form_tag(word: str) -> str:
 def ruled_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id, words, tags`` of the sentences of all documents, tagged by the rule."""
     docs = inputs.documents(spark, sf_dir)
-    rows = docs.select("id", F.explode(marked_sentences(F.col("text"))).alias("words"))
+    rows = explode_values(docs, marked_sentences(F.col("text")), "words", "id")
     tags = F.expr(f"transform(words, (w, i) -> {rule_tag('w', 'get(words, i - 1)')})")
     return rows.withColumn("tags", tags)
 
@@ -84,7 +85,7 @@ def mail_tags(**limits: int) -> Query:
 def lemma_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lemmas of all distinct words of all documents, with a lexicon of the benchmark's words."""
     lexicon = materialize(benchmark_lexicon(spark, sf_dir), "lexicon-rows")
-    found = inputs.documents(spark, sf_dir).select(F.explode(broken_words(F.col("text"))).alias("word")).distinct()
+    found = explode_values(inputs.documents(spark, sf_dir), broken_words(F.col("text")), "word").distinct()
     words = found.withColumn("tag", F.expr(form_tag("word")))
     return lemmas(words, lexicon, learn_rules(lexicon))
 

@@ -15,11 +15,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.runtime import materialize
+from corpusloom.runtime import fits_broadcast, materialize
 
 #: The class of rules that hold for words of any class.
 ANY_TAG = ""
 
+#: Largest table of rules, in bytes, that is sent to every executor.
+RULES_BYTES = 32 * 1024 * 1024
+
 
 def common_start(a: Column, b: Column) -> Column:
     """Number of characters that two strings begin with alike."""
@@ -55,22 +58,28 @@ def learn_rules(lexicon: DataFrame) -> DataFrame:
     above = best.select("tag", F.col("ending").alias("shorter"), F.struct("cut", "added").alias("above"))
     shorter = F.when(F.col("ending") != "", F.expr("substr(ending, 2)"))
     found = best.withColumn("shorter", shorter).join(above, ["tag", "shorter"], "left")
-    return found.where(~F.coalesce(F.struct("cut", "added") == F.col("above"), F.lit(False))).select("tag", "ending", "cut", "added")
+    found = found.where(~F.coalesce(F.struct("cut", "added") == F.col("above"), F.lit(False)))
+    return materialize(found.select("tag", "ending", "cut", "added"), "lemma-rules")
 
 
 def rule_lemmas(words: DataFrame, rules: DataFrame) -> DataFrame:
-    """``word, tag, lemma`` of distinct lower-case ``word, tag`` rows by the longest ending."""
-    lengths = F.explode(F.sequence(F.lit(0), F.char_length("word"))).alias("length")
-    tried = words.select("word", "tag", lengths).withColumn("ending", F.right("word", F.col("length")))
+    """``word, tag, lemma`` of distinct lower-case ``word, tag`` rows by the longest ending.
+
+    The endings of the words are many times the words, which Spark's guess of a size does not
+    see, so the strategy is chosen here: rules of checked size are broadcast, more are joined by
+    a shuffle, and the endings are never sent to the driver.
+    """
+    longest = rules.agg(F.max(F.char_length("ending"))).first()[0] or 0
+    lengths = F.sequence(F.lit(0), F.least(F.char_length("word"), F.lit(longest)))
+    tried = words.select("word", "tag", F.explode(lengths).alias("length")).withColumn("ending", F.right("word", F.col("length")))
     tried = tried.withColumn("sought", F.explode(F.array("tag", F.lit(ANY_TAG))))
     known = rules.select(F.col("tag").alias("sought"), "ending", "cut", "added")
+    known = F.broadcast(known) if fits_broadcast(known, RULES_BYTES) else known.hint("merge")
     lemma = F.concat(F.expr("left(word, char_length(word) - cut)"), "added")
-    found = tried.join(known, ["sought", "ending"]).withColumn("lemma", lemma).where("lemma <> ''")
-    rank = F.struct((F.col("sought") != ANY_TAG).alias("own"), "length")
+    found = tried.join(known, ["sought", "ending"], "left").withColumn("lemma", lemma)
+    rank = F.when(F.col("lemma") != "", F.struct((F.col("sought") != ANY_TAG).alias("own"), "length"))
     best = found.groupBy("word", "tag").agg(F.max_by("lemma", rank).alias("lemma"))
-    same = (F.col("w.word") == F.col("b.word")) & F.col("w.tag").eqNullSafe(F.col("b.tag"))
-    joined = words.alias("w").join(best.alias("b"), same, "left")
-    return joined.select("w.word", "w.tag", F.coalesce("b.lemma", "w.word").alias("lemma"))
+    return best.select("word", "tag", F.coalesce("lemma", "word").alias("lemma"))
 
 
 def lemmas(words: DataFrame, lexicon: DataFrame, rules: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from catalog import tagging_queries as queries
 from corpusloom.functions.words import marked_sentences
+from corpusloom.operators import lemmas as lemma_module
 from corpusloom.operators import tagging, tokens
 from corpusloom.operators.lemmas import learn_rules, lemmas
 from corpusloom.plans.mail import mail_job, mail_tokens
@@ -218,3 +219,26 @@ def test_mail_job_with_a_tagger(spark, tmp_path):
     assert {r["word"]: r["occurrences"] for r in result.dictionary.collect()} == want and want["dog"] == 6 and want["loudly"] == 3
     plain = tokens.tag_mail_tokens(mails.select("id", F.lit("dogs").alias("contents")), tagger).first()
     assert plain["tokens"] == ["dogs"]
+
+
+def test_endings_are_never_sent_to_the_driver(spark, monkeypatch):
+    """The endings of the words, many times the words, are no side of a broadcast."""
+    lexicon = spark.createDataFrame(LEXICON, "surface string, lemma string, tag string")
+    rules = learn_rules(lexicon)
+    words = spark.createDataFrame([("walking", "VBG"), ("zzz", "NN"), ("odd", None)], "word string, tag string")
+    want = sorted(lemma_module.rule_lemmas(words, rules).collect(), key=str)
+    monkeypatch.setattr(lemma_module, "RULES_BYTES", 0, raising=False)
+    found = lemma_module.rule_lemmas(words, rules)
+    assert sorted(found.collect(), key=str) == want and len(want) == 3
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_training_makes_the_classes_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def tag(words):
+        made.add(1)
+        return ["NN"] * len(words)
+
+    rows = spark.createDataFrame([(["dog"],), (["run", "fast"],)], "words array<string>").withColumn("tags", F.udf(tag, "array<string>")("words"))
+    assert tagging.train_tagger(rows).tags == ["NN"] and made.value == 2
