@@ -26,6 +26,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.functions.arrays import explode_values
 from corpusloom.operators.bagofwords import HOT_WORD_ROWS, join_split
 from corpusloom.operators.rowlookup import LOOKUP_BYTES
 from corpusloom.runtime import materialize
@@ -48,8 +49,8 @@ MAX_TAGS = 1000
 GROUP_SENTENCES, GROUP_WORDS = 256, 1 << 16
 
 _NEVER = -(1 << 44)
-#: Stands for a class that is missing, beside null for the edges of a sentence.
-_MISSING = "\0"
+#: Stands for the edges of a sentence, beside null for a class that is missing.
+_EDGE = "\0"
 
 
 @dataclass(frozen=True)
@@ -87,10 +88,10 @@ def train_tagger(sentences: DataFrame, words: str = "words", tags: str = "tags")
     Null words or classes and empty sentences teach nothing; arrays of unlike lengths are an
     error.
     """
-    fits = F.when(F.size(words) != F.size(tags), F.raise_error(F.lit("words and tags differ in number")).cast("boolean"))
-    rows = sentences.where(F.coalesce(fits, F.size(words) > 0)).select(F.col(words).alias("words"), F.col(tags).alias("tags"))
-    rows = materialize(rows, "tagged")
-    uses = rows.select(F.explode(F.arrays_zip("words", "tags")).alias("t")).select("t.*")
+    fits = F.when(F.size("words") != F.size("tags"), F.raise_error(F.lit("words and tags differ in number")).cast("boolean"))
+    rows = materialize(sentences.select(F.col(words).alias("words"), F.col(tags).alias("tags")), "tagged")
+    rows = rows.where(F.coalesce(fits, F.size("words") > 0))  # of stored rows, or the classes are made once more for it
+    uses = explode_values(rows, F.arrays_zip("words", "tags"), "t").select("t.*")
     uses = uses.where("words is not null and tags is not null").groupBy(F.col("words").alias("word"), F.col("tags").alias("tag"))
     uses = materialize(uses.agg(F.count(F.lit(1)).alias("n")), "word-tags")
     totals = dict(uses.groupBy("tag").agg(F.sum("n")).limit(MAX_TAGS + 1).collect())
@@ -102,15 +103,12 @@ def train_tagger(sentences: DataFrame, words: str = "words", tags: str = "tags")
     number = {tag: i for i, tag in enumerate(names)}
     n_all = sum(totals.values())
 
-    tag_at = lambda i: F.coalesce(F.get("tags", i), F.lit(_MISSING))
-    around = F.transform(
-        F.sequence(F.lit(0), F.size("tags")),
-        lambda i: F.struct(F.when(i > 0, tag_at(i - 1)).alias("a"), F.when(i < F.size("tags"), tag_at(i)).alias("b")),
-    )
-    counted = rows.select(F.explode(around).alias("t")).groupBy("t.a", "t.b").count()  # at most a row per pair of classes
+    edge = F.array(F.lit(_EDGE))
+    around = F.arrays_zip(F.concat(edge, F.col("tags")).alias("a"), F.concat(F.col("tags"), edge).alias("b"))
+    counted = explode_values(rows, around, "t").groupBy("t.a", "t.b").count()  # at most a row per pair of classes
     n = len(names)
     moves = np.ones((n + 1, n + 1))
-    place = number | {None: n}
+    place = number | {_EDGE: n}
     for a, b, count in counted.collect():
         if a in place and b in place:
             moves[place[a], place[b]] += count
@@ -124,12 +122,12 @@ def train_tagger(sentences: DataFrame, words: str = "words", tags: str = "tags")
     by_word = _entries(lower.select("word", "tag", weight(F.col("n") / F.col("total")).alias("weight")), "tagger-words")
     rare = lower.groupBy("word").agg(F.sum("n").alias("uses")).where(F.col("uses") <= RARE_USES).select(F.col("word").alias("rare"))
     lengths = F.explode(F.sequence(F.lit(1), F.least(F.char_length("word"), F.lit(LONGEST_ENDING)))).alias("length")
-    seen = placed.join(rare, F.lower("word") == F.col("rare"), "left_semi").where("word <> ''").select("*", lengths)
+    seen = placed.join(rare.hint("merge"), F.lower("word") == F.col("rare"), "left_semi").where("word <> ''").select("*", lengths)
     seen = seen.groupBy(ending_key(F.col("word"), F.col("length")).alias("word"), "tag", "total").agg(F.sum("n").alias("n"))
     seen = materialize(seen, "ending-tags")
     sums = seen.groupBy("word").agg(F.sum("n").alias("of_ending"))
     share = F.col("n") / F.col("of_ending") / (F.col("total") / F.lit(n_all))
-    by_ending = _entries(seen.join(sums, "word").select("word", "tag", weight(share).alias("weight")), "tagger-endings")
+    by_ending = _entries(seen.join(sums.hint("merge"), "word").select("word", "tag", weight(share).alias("weight")), "tagger-endings")
     return Tagger(names, moves.tolist(), by_word, by_ending)
 
 
@@ -154,13 +152,13 @@ def word_entries(tagger: Tagger, words: DataFrame) -> DataFrame:
     A word without a known ending may have any class, with no preference of its own.
     """
     known = tagger.words.select(F.col("word").alias("lower"), F.col("entry").alias("own"))
-    found = materialize(words.select("word").join(known, F.lower("word") == F.col("lower"), "left").drop("lower"), "known-words")
+    found = materialize(words.select("word").join(known.hint("merge"), F.lower("word") == F.col("lower"), "left").drop("lower"), "known-words")
     endings = tagger.endings.select(F.col("word").alias("ending"), "entry")
     lengths = F.explode(F.sequence(F.lit(1), F.least(F.char_length("word"), F.lit(LONGEST_ENDING)))).alias("length")
     tried = found.where("own is null and word <> ''").select("word", lengths)
-    tried = tried.join(endings, ending_key(F.col("word"), F.col("length")) == F.col("ending"))
+    tried = tried.join(endings.hint("merge"), ending_key(F.col("word"), F.col("length")) == F.col("ending"))
     longest = tried.groupBy("word").agg(F.max_by("entry", "length").alias("entry"))
-    rest = found.where("own is null").select("word").join(longest, "word", "left")
+    rest = found.where("own is null").select("word").join(longest.hint("merge"), "word", "left")
     free = F.array(*(F.struct(F.lit(t).alias("tag"), F.lit(0).cast("long").alias("weight")) for t in range(len(tagger.tags))))
     rest = rest.select("word", F.coalesce("entry", free).alias("entry"))
     return found.where("own is not null").select("word", F.col("own").alias("entry")).unionByName(rest)
