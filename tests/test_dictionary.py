@@ -3,11 +3,13 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from catalog import spark_queries
 from corpusloom import sinks, sources
-from corpusloom.operators import bagofwords, dictionary
+from corpusloom.operators import bagofwords, dictionary, rowlookup
 from corpusloom.operators.numbering import dense_index
 from corpusloom.operators.rowlookup import LOOKUP_BYTES
 from corpusloom.operators.tokens import word_counts
@@ -357,3 +359,19 @@ def test_rows_that_read_like_the_first_line_stay(spark, split):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert sorted((r.id, r.words, r.counts) for r in found) == [(i, [i % 5], [2.0]) for i in range(300)]
+
+
+def test_lookup_in_slices_of_few_words(counts, monkeypatch):
+    lists = pa.array([["a", "b"], [], ["c"], ["d", "e", "f", "g"], ["h"]])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.concat_arrays([pa.array([["x"]]), lists])], ["id", "words"]).slice(1)
+    monkeypatch.setattr(rowlookup, "SLICE_WORDS", 3)
+    assert [s.column("id").to_pylist() for s in rowlookup._slices(iter([batch]))] == [[1, 2, 3], [4], [5]]
+    words = dictionary.build_dictionary(counts, 1.0, 2)
+    want = expected_bow({r.word: r.id for r in words.collect()})
+    assert {r.id: (r.words, r.counts) for r in bagofwords.bag_of_words(counts, words, keep_empty=True).collect()} == want
+
+
+def test_mails_are_written_by_many_tasks(spark, sf_dir, monkeypatch, tmp_path):
+    monkeypatch.setattr(spark_queries, "scratch_path", lambda spark, label: str(tmp_path / label))
+    spark_queries.mail_directory(spark, sf_dir)
+    assert len({p.name.split("-")[1] for p in tmp_path.rglob("part-*.txt")}) > 1
