@@ -4,10 +4,11 @@ import random
 
 import pytest
 from pyspark.ml.clustering import DistributedLDAModel, LocalLDAModel
+from pyspark.ml.linalg import Vectors
 
 from corpusloom import sinks
 from corpusloom.operators import topics
-from corpusloom.operators.vectors import to_vectors
+from corpusloom.operators.vectors import to_vectors, vector_entries
 from corpusloom.plans import apply_job, mail_job, text_job, train_job
 from corpusloom.plans.topics import preprocess
 from corpusloom.runtime import scratch_path
@@ -185,3 +186,23 @@ def test_mail_job_with_a_lexicon(spark):
     )
     done = mail_job(mails, dictionary=scratch_path(spark, "d"), above=1.0, below=1, lexicon=lexicon)
     assert {r.word for r in done.dictionary.collect()} == {"cat", "sleep"}
+
+
+def test_em_makes_no_graph_of_the_corpus(spark, vectors, monkeypatch):
+    """Spark's own training, a graph with an edge per entry, sees one word; the model holds the whole corpus."""
+    seen, fit = [], topics.LDA.fit
+
+    def counted(self, rows, *more):
+        seen.append(rows.count())
+        return fit(self, rows, *more)
+
+    monkeypatch.setattr(topics.LDA, "fit", counted)
+    model = topics.train(vectors, N_WORDS, K, 1, algorithm="em", seed=2)
+    assert sum(seen) <= 1
+    assert model.topicsMatrix().toArray().sum(axis=1) == pytest.approx(USES)
+    assert model.getMaxIter() == 1 and model.vocabSize() == N_WORDS
+    local = topics.local_model(model)
+    assert local.topicsMatrix().toArray() == pytest.approx(model.topicsMatrix().toArray())
+    odd = spark.createDataFrame([(1, Vectors.dense([2.5, 0.0, 1.0])), (1, Vectors.sparse(3, [1, 2], [0.0, 4.0])), (None, Vectors.sparse(3, [], []))], ["id", "features"])
+    rows = vector_entries(odd).collect()
+    assert sorted((r.words, r.counts) for r in rows) == [([], []), ([0, 2], [2.5, 1.0]), ([2], [4.0])]
