@@ -40,6 +40,30 @@ def rule_tag(word: str, before: str) -> str:
     )
 
 
+#: A word of every form that the rule tells apart; the rule takes all words of a form alike.
+FORMS = ["0", "the", "of", "is", "ing", "ed", "ly", "X", "x"]
+
+
+def word_form(word: str, lower: str) -> str:
+    """The place in FORMS of the first form that a word has."""
+    return (
+        f"case when {word} >= '0' and {word} < ':' then 0"
+        f" when {lower} in ({DETERMINERS}) then 1 when {lower} in ({PREPOSITIONS}) then 2 when {lower} in ({COPULAS}) then 3"
+        f" when {word} like '%ing' then 4 when {word} like '%ed' then 5 when {word} like '%ly' then 6"
+        f" when {word} <> {lower} then 7 else 8 end"
+    )
+
+
+def rule_tags(words: str) -> str:
+    """``rule_tag`` of all words of an array: each word is looked at once, then pairs of forms are looked up."""
+    quoted = [f"'{w}'" for w in FORMS]
+    table = ", ".join(rule_tag(w, b) for w in quoted for b in [*quoted, "null"])
+    forms = f"zip_with({words}, transform({words}, w -> lower(w)), (w, l) -> {word_form('w', 'l')})"
+    n = len(FORMS)
+    looked_up = f"transform(f, (k, i) -> get(array({table}), k * {n + 1} + coalesce(get(f, i - 1), {n})))"
+    return f"element_at(transform(array({forms}), f -> {looked_up}), 1)"
+
+
 def form_tag(word: str) -> str:
     """The class that the lexicon of the benchmark gives a word of this form."""
     return (
@@ -52,8 +76,7 @@ def ruled_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id, words, tags`` of the sentences of all documents, tagged by the rule."""
     docs = inputs.documents(spark, sf_dir)
     rows = explode_values(docs, marked_sentences(F.col("text")), "words", "id")
-    tags = F.expr(f"transform(words, (w, i) -> {rule_tag('w', 'get(words, i - 1)')})")
-    return rows.withColumn("tags", tags)
+    return rows.withColumn("tags", F.expr(rule_tags("words")))
 
 
 def trained_tagger(spark: SparkSession, sf_dir: str) -> Tagger:

@@ -48,6 +48,9 @@ MAX_TAGS = 1000
 #: Sentences decoded at once, and their words, unless one has more.
 GROUP_SENTENCES, GROUP_WORDS = 256, 1 << 16
 
+#: Words of training that a task adds up at once, unless a batch has more.
+COUNTED_WORDS = 1 << 22
+
 _NEVER = -(1 << 44)
 #: Stands for the edges of a sentence, beside null for a class that is missing.
 _EDGE = "\0"
@@ -76,25 +79,70 @@ def ending_key(word: Column, length: Column) -> Column:
     return F.concat(F.when(word != F.lower(word), "^").otherwise(""), F.right(F.lower(word), length))
 
 
-def _entries(rows: DataFrame, label: str) -> DataFrame:
-    """``word, entry`` with the classes of a word in order."""
-    entry = F.sort_array(F.collect_list(F.struct("tag", "weight"))).alias("entry")  # a class each
-    return materialize(rows.groupBy("word").agg(entry), label)
+def _edged(tags: pa.Array, lengths: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Each class and the one after it, with an edge before and after the classes of every sentence."""
+    ends, edge = np.cumsum(lengths), len(tags)
+    at, after = (np.insert(np.arange(edge), places, edge) for places in (ends - lengths, ends))
+    held = pa.concat_arrays([tags, pa.array([_EDGE], tags.type)])
+    return held.take(pa.array(at)), held.take(pa.array(after))
+
+
+def _counted(a: list[pa.Array], b: list[pa.Array], follows: bool) -> pa.RecordBatch:
+    """``a, b, n, follows`` of the distinct pairs without nulls."""
+    pairs = pa.table({"a": pa.chunked_array(a, pa.string()), "b": pa.chunked_array(b, pa.string())}).drop_null()
+    found = pairs.group_by(["a", "b"], use_threads=False).aggregate([([], "count_all")]).combine_chunks()
+    columns = [pa.concat_arrays(found[c].chunks) if found.num_rows else pa.array([], found[c].type) for c in ("a", "b", "count_all")]
+    flags = pa.array(np.full(found.num_rows, follows))
+    return pa.RecordBatch.from_arrays([*columns, flags], ["a", "b", "n", "follows"])
+
+
+def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Uses of words with classes, and of classes after classes, added up for every COUNTED_WORDS words."""
+    held: list[list[pa.Array]] = [[], [], [], []]
+    size = 0
+    for batch in batches:
+        words, tags = batch.columns
+        both = pc.and_(words.is_valid(), tags.is_valid())
+        words, tags = words.filter(both), tags.filter(both)
+        lengths = pc.list_value_length(words)
+        if not lengths.equals(pc.list_value_length(tags)):
+            raise ValueError("words and tags differ in number")
+        lengths = lengths.to_numpy()
+        inner = tags.flatten().cast(pa.string())
+        for part, column in zip(held, (words.flatten().cast(pa.string()), inner, *_edged(inner, lengths[lengths > 0])), strict=True):
+            part.append(column)
+        size += len(inner)
+        if size >= COUNTED_WORDS:
+            yield _counted(held[0], held[1], False)
+            yield _counted(held[2], held[3], True)
+            held, size = [[], [], [], []], 0
+    if size:
+        yield _counted(held[0], held[1], False)
+        yield _counted(held[2], held[3], True)
+
+
+def _weights(uses: Column, totals: list[int]) -> Column:
+    """``tag, weight`` of the classes of a word in order, from its ``tag, n`` rows."""
+    of_all = F.array(*(F.lit(t).cast("long") for t in totals))
+
+    def entry(tag: Column) -> Column:
+        n = F.aggregate(F.filter(uses, lambda u: u["tag"] == tag), F.lit(0).cast("long"), lambda s, u: s + u["n"])
+        return F.struct(tag.alias("tag"), weight(n / F.get(of_all, tag)).alias("weight"))
+
+    return F.transform(F.sort_array(F.array_distinct(F.transform(uses, lambda u: u["tag"]))), entry)
 
 
 def train_tagger(sentences: DataFrame, words: str = "words", tags: str = "tags") -> Tagger:
     """A model from one row per sentence: parallel arrays of words and classes.
 
     Null words or classes and empty sentences teach nothing; arrays of unlike lengths are an
-    error.
+    error.  Tasks add up what they read, so the sentences are read once and never stored; the
+    words are shuffled once, by their lower-cased form, and all else is learnt from those groups.
     """
-    fits = F.when(F.size("words") != F.size("tags"), F.raise_error(F.lit("words and tags differ in number")).cast("boolean"))
-    rows = materialize(sentences.select(F.col(words).alias("words"), F.col(tags).alias("tags")), "tagged")
-    rows = rows.where(F.coalesce(fits, F.size("words") > 0))  # of stored rows, or the classes are made once more for it
-    uses = explode_values(rows, F.arrays_zip("words", "tags"), "t").select("t.*")
-    uses = uses.where("words is not null and tags is not null").groupBy(F.col("words").alias("word"), F.col("tags").alias("tag"))
-    uses = materialize(uses.agg(F.count(F.lit(1)).alias("n")), "word-tags")
-    totals = dict(uses.groupBy("tag").agg(F.sum("n")).limit(MAX_TAGS + 1).collect())
+    rows = sentences.select(F.col(words).cast("array<string>").alias("words"), F.col(tags).cast("array<string>").alias("tags"))
+    counts = materialize(rows.mapInArrow(count_pairs, "a string, b string, n long, follows boolean"), "tag-counts")
+    uses = counts.where("not follows").select(F.col("a").alias("word"), F.col("b").alias("name"), "n")
+    totals = dict(uses.groupBy("name").agg(F.sum("n")).limit(MAX_TAGS + 1).collect())
     if len(totals) > MAX_TAGS:
         raise ValueError(f"more than {MAX_TAGS} word classes")
     names = sorted(totals)
@@ -103,9 +151,7 @@ def train_tagger(sentences: DataFrame, words: str = "words", tags: str = "tags")
     number = {tag: i for i, tag in enumerate(names)}
     n_all = sum(totals.values())
 
-    edge = F.array(F.lit(_EDGE))
-    around = F.arrays_zip(F.concat(edge, F.col("tags")).alias("a"), F.concat(F.col("tags"), edge).alias("b"))
-    counted = explode_values(rows, around, "t").groupBy("t.a", "t.b").count()  # at most a row per pair of classes
+    counted = counts.where("follows").groupBy("a", "b").agg(F.sum("n"))  # at most a row per pair of classes
     n = len(names)
     moves = np.ones((n + 1, n + 1))
     place = number | {_EDGE: n}
@@ -116,18 +162,24 @@ def train_tagger(sentences: DataFrame, words: str = "words", tags: str = "tags")
 
     spark = sentences.sparkSession
     known = spark.createDataFrame([(t, i, totals[t]) for t, i in number.items()], "name string, tag int, total long")
-    placed = uses.join(F.broadcast(known), F.col("name") == uses["tag"]).select("word", known["tag"], "total", "n")
-    lower = placed.groupBy(F.lower("word").alias("word"), "tag", "total").agg(F.sum("n").alias("n"))
+    placed = uses.join(F.broadcast(known.select("name", "tag")), "name").select(F.lower("word").alias("lower"), "word", "tag", "n")
+    # The only shuffle of words; a group has a few rows from each task, as tasks have added up theirs.
+    lower = placed.repartition("lower").groupBy("lower")
+    lower = lower.agg(F.collect_list(F.struct("word", "tag", "n")).alias("uses"), F.sum("n").alias("times"))
     lower = materialize(lower, "lower-words")
-    by_word = _entries(lower.select("word", "tag", weight(F.col("n") / F.col("total")).alias("weight")), "tagger-words")
-    rare = lower.groupBy("word").agg(F.sum("n").alias("uses")).where(F.col("uses") <= RARE_USES).select(F.col("word").alias("rare"))
+    by_word = lower.select(F.col("lower").alias("word"), _weights(F.col("uses"), [totals[t] for t in names]).alias("entry"))
+    by_word = materialize(by_word, "tagger-words")
+
+    rare = explode_values(lower.where(F.col("times") <= RARE_USES), "uses", "u").select("u.*")
     lengths = F.explode(F.sequence(F.lit(1), F.least(F.char_length("word"), F.lit(LONGEST_ENDING)))).alias("length")
-    seen = placed.join(rare.hint("merge"), F.lower("word") == F.col("rare"), "left_semi").where("word <> ''").select("*", lengths)
-    seen = seen.groupBy(ending_key(F.col("word"), F.col("length")).alias("word"), "tag", "total").agg(F.sum("n").alias("n"))
-    seen = materialize(seen, "ending-tags")
-    sums = seen.groupBy("word").agg(F.sum("n").alias("of_ending"))
+    seen = rare.where("word <> ''").select("*", lengths)
+    seen = seen.groupBy(ending_key(F.col("word"), F.col("length")).alias("word"), "tag").agg(F.sum("n").alias("n"))
+    seen = seen.join(F.broadcast(known.select("tag", "total")), "tag")
     share = F.col("n") / F.col("of_ending") / (F.col("total") / F.lit(n_all))
-    by_ending = _entries(seen.join(sums.hint("merge"), "word").select("word", "tag", weight(share).alias("weight")), "tagger-endings")
+    sums = seen.groupBy("word").agg(F.collect_list(F.struct("tag", "n", "total")).alias("uses"), F.sum("n").alias("of_ending"))
+    shares = sums.select("word", "of_ending", F.explode("uses").alias("u")).select("word", "of_ending", "u.*")
+    entry = F.sort_array(F.collect_list(F.struct("tag", weight(share).alias("weight")))).alias("entry")  # a class each
+    by_ending = materialize(shares.groupBy("word").agg(entry), "tagger-endings")
     return Tagger(names, moves.tolist(), by_word, by_ending)
 
 
@@ -223,6 +275,13 @@ def _dense(entries: pa.Array, n_tags: int) -> np.ndarray:
     return table
 
 
+def _looked_up(words: pa.Array, known: pa.Array, entry: pa.Array, n_tags: int) -> tuple[np.ndarray, np.ndarray]:
+    """A table of weights for the distinct words, and the row of each word in it."""
+    distinct = words.dictionary_encode()
+    at = pc.index_in(distinct.dictionary, known.cast(distinct.dictionary.type))
+    return _dense(entry.take(at), n_tags), distinct.indices.to_numpy()
+
+
 def tag_sentences(
     df: DataFrame, tagger: Tagger, sentences: str = "sentences", lookup_limit: int = LOOKUP_BYTES, hot_rows: int = HOT_WORD_ROWS
 ) -> DataFrame:
@@ -244,10 +303,7 @@ def tag_sentences(
         shared = df.sparkSession.sparkContext.broadcast(tuple(held[c].combine_chunks() for c in ("word", "entry")))
 
         def with_shared(words: pa.Array):
-            known, entry = shared.value
-            distinct = words.dictionary_encode()
-            at = pc.index_in(distinct.dictionary, known.cast(distinct.dictionary.type))
-            return _dense(entry.take(at), len(names)), distinct.indices.to_numpy()
+            return _looked_up(words, *shared.value, len(names))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -263,18 +319,22 @@ def tag_sentences(
 
     def run_own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = []
-            for i in range(batch.num_rows):
-                one = batch.slice(i, 1)
-                known = one.column(2).flatten()
-
-                def with_own(words: pa.Array, known=known):
-                    if not len(words):
-                        return np.zeros((0, len(names)), np.int64), np.zeros(0, np.int64)
-                    at = pc.index_in(words, known.field("word").cast(words.type))
-                    return _dense(known.field("entry"), len(names)), at.to_numpy()
-
-                parts.append(_tagged(names, moves, one.column(1), with_own))
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.column(2)), 0).to_numpy(zero_copy_only=False))
+            parts, first = [], 0
+            while first < batch.num_rows:
+                low = ends[first - 1] if first else 0
+                last = max(first + 1, int(np.searchsorted(ends, low + GROUP_WORDS, side="right")))
+                part = batch.slice(first, last - first)
+                known = part.column(2).flatten()
+                held = known.field("word").dictionary_encode()
+                at = np.unique(held.indices.to_numpy(), return_index=True)[1]  # texts share the entry of a word
+                entry = known.field("entry").take(pa.array(at))
+
+                def with_own(words: pa.Array, known=held.dictionary, entry=entry):
+                    return _looked_up(words, known, entry, len(names))
+
+                parts.append(_tagged(names, moves, part.column(1), with_own))
+                first = last
             tags = pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.list_(pa.string())))
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], tags], ["id", "sentences", "tags"])
 

@@ -8,6 +8,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,6 +64,57 @@ def test_weights(spark):
     assert endings["^on"] == {"NNP"} and endings["ly"] == {"RB"} and "" not in endings
 
 
+def test_counts_do_not_depend_on_groups_and_sentences_are_not_stored(spark, monkeypatch):
+    def model():
+        found = trained(spark)
+        tables = ({r["word"]: [tuple(e) for e in r["entry"]] for r in t.collect()} for t in (found.words, found.endings))
+        return [found.tags, found.moves, *tables]
+
+    stored, kept = [], tagging.materialize
+    monkeypatch.setattr(tagging, "materialize", lambda df, label: stored.append(df.columns) or kept(df, label))
+    whole = model()
+    assert stored and not any("words" in c or "tags" in c for c in stored)
+    monkeypatch.setattr(tagging, "COUNTED_WORDS", 2)
+    assert model() == whole
+
+
+def test_counted_pairs_of_batches():
+    words, tags = [["a", None, "b"], [], None, ["b"], ["a", "a"]], [["X", "Y", None], [], ["X"], ["Y"], ["X", "X"]]
+    batch = pa.RecordBatch.from_arrays([pa.array(words, pa.list_(pa.string())), pa.array(tags, pa.list_(pa.string()))], ["words", "tags"])
+    got = Counter()
+    for part in tagging.count_pairs([batch.slice(0, 2), batch.slice(2, 1), batch.slice(3)]):
+        for r in part.to_pylist():
+            got[r["a"], r["b"], r["follows"]] += r["n"]
+    edge = tagging._EDGE
+    assert got == {
+        ("a", "X", False): 3, ("b", "Y", False): 1,
+        (edge, "X", True): 2, ("X", "Y", True): 1, (edge, "Y", True): 1, ("Y", edge, True): 1, ("X", "X", True): 1, ("X", edge, True): 1,
+    }
+
+
+def test_rule_tags_are_those_of_the_rule(spark):
+    forms = ["7up", "The", "the", "OF", "von", "Is", "was", "RUNNING", "Running", "running", "used", "Used", "only", "Only", "X", "x", "Émile", "ß", ""]
+    rows = spark.createDataFrame([([a, b],) for a in forms for b in forms] + [([],), (forms,)], "words array<string>")
+    want = F.expr(f"transform(words, (w, i) -> {queries.rule_tag('w', 'get(words, i - 1)')})")
+    plan = rows.select(F.expr(queries.rule_tags("words")).alias("got"), want.alias("want"))
+    assert all(r["got"] == r["want"] for r in plan.collect())
+    assert queries.rule_tags("words").count("lower(w)") == 1  # a word is lower-cased once
+
+
+def test_texts_are_decoded_in_groups(spark, monkeypatch):
+    """Beside a shuffled model, texts are decoded many at a time and not one by one."""
+    calls, decode = [], tagging._tagged
+    monkeypatch.setattr(tagging, "_tagged", lambda *a: calls.append(1) or decode(*a))
+    captured = {}
+    frame = spark.createDataFrame([(i, [["the", "run"], ["dogs", "run"]]) for i in range(50)], "id long, sentences array<array<string>>")
+    tagger, real = trained(spark), type(frame).mapInArrow
+    monkeypatch.setattr(type(frame), "mapInArrow", lambda self, f, schema: captured.update(run=f, rows=self) or real(self, f, schema))
+    tagging.tag_sentences(frame, tagger, lookup_limit=0)
+    batch = captured["rows"].toArrow().combine_chunks().to_batches()[0]
+    got = [r["tags"] for b in captured["run"]([batch]) for r in b.to_pylist()]
+    assert got == [[["DT", "NN"], ["NNS", "VBP"]]] * 50 and len(calls) == 1
+
+
 def test_best_tags_is_the_best_of_all_paths():
     rng = np.random.default_rng(5)
     n = 4
