@@ -123,3 +123,29 @@ def test_workers_need_no_package(tmp_path):
     )
     done = subprocess.run([sys.executable, "-c", script], input=payload, cwd=tmp_path, capture_output=True)
     assert done.stdout.decode().split("\n")[0] == "[1, -1] False", done.stderr.decode()
+
+
+def test_words_of_many_rows_are_not_shuffled(spark, monkeypatch):
+    """Words of many rows are looked up in place, in the lexicon or not, and their rows and empty ones stay out of the shuffle."""
+    lexicon = spark.createDataFrame([("running", "run", "VBG"), ("ran", "run", "VBD"), ("every", "every", "DT")], "surface string, lemma string, tag string")
+    texts = [(i, ["often", "running", "every", f"w{i}"] + (["ran"] if i == 3 else [])) for i in range(6)] + [(7, []), (8, ["the"]), (3, ["ran"])]
+    counts = word_counts(spark.createDataFrame(texts, "id long, tokens array<string>"))
+    rows = lambda df: sorted((r["id"], [tuple(t) for t in r["terms"]]) for r in df.collect())
+    seen, split = [], tokens_module.join_split
+
+    def watched(rows, table, key, hot, **options):
+        seen.append(({r[key] for r in hot.collect()}, options))
+        return split(rows, table, key, hot, **options)
+
+    monkeypatch.setattr(tokens_module, "join_split", watched)
+    got = rows(apply_lexicon(counts, lexicon, lookup_limit=0, broadcast_limit=0, hot_rows=4))
+    assert seen == [({"often", "running", "every"}, {"stored": True})]
+    assert (7, []) in got and (8, []) in got and (1, [("often", 1), ("run", 1), ("w1", 1)]) in got
+    assert (3, [("often", 1), ("run", 3), ("w3", 1)]) in got
+    assert got == rows(apply_lexicon(counts, lexicon, lookup_limit=0, broadcast_limit=0, hot_rows=100))
+    entry = spark.createDataFrame([("a", 1)], "word string, n_of long")
+    hot = spark.createDataFrame([("a", 3, 1), ("b", 2, None)], "word string, n long, n_of long")
+    many = spark.createDataFrame([("a",), ("a",), ("a",), ("b",), ("b",), (None,), ("c",)], "word string")
+    found = split(many, entry, "word", hot, stored=True)
+    assert sorted(found.collect(), key=str) == sorted(split(many, entry, "word", hot).collect(), key=str)
+    assert "monotonically" not in found._jdf.queryExecution().toString()  # no keys of their own for a shuffle
