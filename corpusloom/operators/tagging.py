@@ -338,4 +338,5 @@ def tag_sentences(
             tags = pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.list_(pa.string())))
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], tags], ["id", "sentences", "tags"])
 
-    return rows.join(own, "id", "left").select("id", "sentences", "own").mapInArrow(run_own, schema)
+    own = own.withColumnRenamed("id", "of")
+    return rows.join(own, F.col("id").eqNullSafe(F.col("of")), "left").select("id", "sentences", "own").mapInArrow(run_own, schema)

@@ -161,6 +161,13 @@ def test_context_decides_and_odd_inputs(spark, monkeypatch):
     assert tagging.tag_sentences(frame.limit(0), tagger).collect() == []
 
 
+def test_texts_without_an_id_are_tagged_beside_a_shuffled_model(spark):
+    frame = spark.createDataFrame([(None, [["the", "run"]]), (1, [["run"]]), (None, [["dogs", "barks"]])], "id long, sentences array<array<string>>")
+    tagger = trained(spark)
+    want, got = (sorted(tagging.tag_sentences(frame, tagger, **k).collect(), key=str) for k in ({}, {"lookup_limit": 0}))
+    assert got == want and len(got) == 3
+
+
 def test_refused_training(spark):
     one = spark.createDataFrame([(["a", "b"], ["X"])], "words array<string>, tags array<string>")
     with pytest.raises(Exception, match="differ in number"):
