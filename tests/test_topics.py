@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.ml.clustering import DistributedLDAModel, LocalLDAModel
 from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
 
 from corpusloom import sinks
 from corpusloom.operators import topics
@@ -128,6 +129,21 @@ def test_empty_documents_have_no_topics(spark, trained):
     assert row.topic_distribution == [0.0] * K
 
 
+def test_topics_of_a_document_are_made_once(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<double>")
+    def shares(i):
+        calls.add(1)
+        return [0.25, None, 0.75] if i % 2 else [] if i % 4 else None
+
+    documents = spark.range(12, numPartitions=2).select("id", shares("id").alias("topic_distribution"))
+    rows = topics.exploded_topics(documents).collect()
+    assert sorted((r.id, r.topic) for r in rows) == [(i, t) for i in range(1, 12, 2) for t in range(3)]
+    assert {(r.topic, r.proportion) for r in rows} == {(0, 0.25), (1, None), (2, 0.75)}
+    assert calls.value == 12
+
+
 # --- jobs -------------------------------------------------------------------------
 
 
