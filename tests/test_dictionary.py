@@ -375,3 +375,14 @@ def test_mails_are_written_by_many_tasks(spark, sf_dir, monkeypatch, tmp_path):
     monkeypatch.setattr(spark_queries, "scratch_path", lambda spark, label: str(tmp_path / label))
     spark_queries.mail_directory(spark, sf_dir)
     assert len({p.name.split("-")[1] for p in tmp_path.rglob("part-*.txt")}) > 1
+
+
+def test_mails_are_written_without_check_files(spark, monkeypatch, tmp_path):
+    texts = [(1, 0, "a\nb"), (1, 1, ""), (2, 0, None), (2, 1, "ü"), (None, 1, "c")]
+    folder = str(tmp_path / "tables")
+    spark.createDataFrame(texts, "conv_id long, turn long, text string").write.parquet(f"{folder}/conversations.parquet")
+    monkeypatch.setattr(spark_queries, "scratch_path", lambda spark, label: str(tmp_path / label))
+    found = {(r.path, r.document) for r in spark_queries.mail_directory(spark, folder).collect()}
+    places = {(c, t): f"conv_id={c}/turn={t}" if c else "" for c, t, _ in texts}
+    assert found == {(places[c, t], f"{text or ''}\n") for c, t, text in texts}
+    assert not [*(tmp_path / "mail-files").rglob("*/.part-*.crc")]
