@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import random
 from collections import Counter
 
@@ -386,3 +387,17 @@ def test_mails_are_written_without_check_files(spark, monkeypatch, tmp_path):
     places = {(c, t): f"conv_id={c}/turn={t}" if c else "" for c, t, _ in texts}
     assert found == {(places[c, t], f"{text or ''}\n") for c, t, text in texts}
     assert not [*(tmp_path / "mail-files").rglob("*/.part-*.crc")]
+
+
+def test_corpus_file_keeps_no_tables(spark, sf_dir, monkeypatch, tmp_path):
+    """The counted words and the corpus are gone when the text is written; the dictionary is small."""
+    from corpusloom import runtime
+
+    numbers = itertools.count()
+    place = lambda spark, label: f"{tmp_path}/{label}-{next(numbers)}"
+    for module in (runtime, spark_queries):
+        monkeypatch.setattr(module, "scratch_path", place)
+    path = spark_queries.corpus_file(spark, sf_dir)
+    left = sorted(p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir())
+    assert "counts" not in left and "corpus" not in left and "corpus-text" in left
+    assert sources.read_corpus(spark, path).count() == sources.read_corpus_header(spark, path).n_docs > 0

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import random
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusloom import sinks
 from corpusloom.operators import topics
+from corpusloom.operators import vectors as vectors_module
 from corpusloom.operators.vectors import to_vectors, vector_entries
 from corpusloom.plans import apply_job, mail_job, text_job, train_job
 from corpusloom.plans.topics import preprocess
@@ -236,3 +238,21 @@ def test_em_makes_no_graph_of_the_corpus(spark, vectors, monkeypatch):
     odd = spark.createDataFrame([(1, Vectors.dense([2.5, 0.0, 1.0])), (1, Vectors.sparse(3, [1, 2], [0.0, 4.0])), (None, Vectors.sparse(3, [], []))], ["id", "features"])
     rows = vector_entries(odd).collect()
     assert sorted((r.words, r.counts) for r in rows) == [([], []), ([0, 2], [2.5, 1.0]), ([2], [4.0])]
+
+
+def test_em_leaves_no_copies_of_its_input(spark, monkeypatch, tmp_path):
+    """What the documents went through is gone when the model is stored."""
+    from corpusloom import runtime
+
+    numbers = itertools.count()
+    place = lambda spark, label: f"{tmp_path}/{label}-{next(numbers)}"
+    corpus = spark.createDataFrame([(i % 5, [i % 7, 8], [1.0, 2.0]) for i in range(40)], "id long, words array<int>, counts array<double>")
+    stored = to_vectors(corpus, 10)
+    for module in (runtime, topics, vectors_module):
+        monkeypatch.setattr(module, "scratch_path", place)
+    model = topics.train(stored, 10, 3, 2)
+    left = {p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()}
+    assert "numbered" not in left and "block-words" not in left and "answers" not in left
+    assert sum(p.name.startswith("vectors-") for p in tmp_path.iterdir()) == 2  # of the model itself
+    edges = spark.read.parquet(f"{model.stored_at}/oldModel/data/tokenCounts")
+    assert edges.count() == 80 and edges.select("srcId").distinct().count() == 40
