@@ -256,3 +256,27 @@ def test_em_leaves_no_copies_of_its_input(spark, monkeypatch, tmp_path):
     assert sum(p.name.startswith("vectors-") for p in tmp_path.iterdir()) == 2  # of the model itself
     edges = spark.read.parquet(f"{model.stored_at}/oldModel/data/tokenCounts")
     assert edges.count() == 80 and edges.select("srcId").distinct().count() == 40
+
+
+def test_a_large_local_model_is_saved_topic_by_topic(spark, monkeypatch, tmp_path):
+    """Spark would send the matrix within one task, which it refuses from 128 MB on."""
+    corpus = spark.createDataFrame([(i, [i % 7, 8], [1.0, 2.0 + i]) for i in range(40)], "id long, words array<int>, counts array<double>")
+    stored = to_vectors(corpus, 10)
+    model = topics.train(stored, 10, 3, 4, 0.4, 0.3, algorithm="online")
+    plain, parted = str(tmp_path / "plain"), str(tmp_path / "parted")
+    topics.save_model(model, plain)
+    tasks = []
+    monkeypatch.setattr(topics, "SAVED_AT_ONCE", 29)
+    sent = topics._sent_topics
+    monkeypatch.setattr(topics, "_sent_topics", lambda *a: tasks.append(sent(*a).rdd.getNumPartitions()) or sent(*a))
+    topics.save_model(model, parted)
+    assert tasks == [3]  # a task per topic
+    one, other = topics.load_model(spark, plain), topics.load_model(spark, parted)
+    assert (one.topicsMatrix().toArray() == other.topicsMatrix().toArray()).all() and one.vocabSize() == other.vocabSize() == 10
+    assert one.estimatedDocConcentration() == other.estimatedDocConcentration()
+    assert {p.name: v for p, v in one.extractParamMap().items()} == {p.name: v for p, v in other.extractParamMap().items()}
+    rows = [spark.read.parquet(f"{p}/data").drop("topicsMatrix").first() for p in (plain, parted)]
+    assert rows[0] == rows[1] and spark.read.parquet(f"{plain}/data").schema == spark.read.parquet(f"{parted}/data").schema
+    assert sorted(topics.topic_words(spark, plain).collect()) == sorted(topics.topic_words(spark, parted).collect())
+    found = [sorted((r["id"], r["topic_distribution"]) for r in topics.document_topics(m, stored).collect()) for m in (one, other)]
+    assert found[0] == found[1]
